@@ -61,8 +61,8 @@ def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "products": _products(table("part")),
         "orders": _orders(table("orders"), table("lineitem")),
         "order_items": _order_items(table("lineitem")),
-        "payments": _payments(table("events")),
-        "reviews": _reviews(table("events")),
+        "payments": payments(table("events")),
+        "reviews": reviews(table("events")),
     }
 
 
@@ -102,32 +102,35 @@ def _orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 def _order_items(lineitem: DataFrame) -> DataFrame:
     # Items are numbered within (order, slot) and the slot is part of the number: unique
     # in the order, and a very large order is spread over as many groups as it has slots.
-    lines = lineitem.withColumn(
-        "slot", F.expr(f"pmod(l_partkey * 31 + l_suppkey * 7 + l_linenumber, {ITEM_SLOTS})")
-    )
-    turn = F.row_number().over(
-        Window.partitionBy("l_orderkey", "slot").orderBy(
-            "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"
-        )
-    )
-    return lines.select(
+    slot = F.expr(f"pmod(l_partkey * 31 + l_suppkey * 7 + l_linenumber, {ITEM_SLOTS})")
+    lines = lineitem.select(
         _text("l_orderkey").alias("order_id"),
-        (F.col("slot") + 1 + ITEM_SLOTS * (turn - 1)).cast("string").alias("order_item_id"),
         _text("l_partkey").alias("product_id"),
         _text("l_suppkey").alias("seller_id"),
         _moment("l_shipdate").alias("shipping_limit_date"),
         F.col("l_extendedprice").alias("price"),
         F.col("l_quantity").cast("double").alias("freight_value"),
+        F.col("l_linenumber").alias("line"),
+        slot.alias("slot"),
     )
+    turn = F.row_number().over(
+        Window.partitionBy("order_id", "slot").orderBy(
+            "line", "price", "shipping_limit_date", "product_id", "seller_id", "freight_value"
+        )
+    )
+    number = F.col("slot") + 1 + ITEM_SLOTS * (turn - 1)
+    return lines.withColumn("order_item_id", number.cast("string")).drop("line", "slot")
 
 
 def _prop(name: str) -> Column:
     return F.get_json_object("props", f"$.{name}").try_cast("int")
 
 
-def _payments(events: DataFrame) -> DataFrame:
+def payments(events: DataFrame, without_order: Column | None = None) -> DataFrame:
+    """Payments from events; rows where ``without_order`` holds get a NULL order."""
+    order = F.expr("cast(event_id div 4 as string)")
     return events.select(
-        F.expr("cast(event_id div 4 as string)").alias("order_id"),
+        _unless(without_order, order).alias("order_id"),
         F.expr("cast(1 + user_id % 3 as string)").alias("payment_sequential"),
         F.col("event_type").alias("payment_type"),
         _prop("k").alias("payment_installments"),
@@ -136,10 +139,12 @@ def _payments(events: DataFrame) -> DataFrame:
     )
 
 
-def _reviews(events: DataFrame) -> DataFrame:
+def reviews(events: DataFrame, without_order: Column | None = None) -> DataFrame:
+    """Reviews from events; rows where ``without_order`` holds get a NULL order."""
+    order = F.expr("cast(event_id div 6 as string)")
     return events.select(
         F.expr("cast(event_id div 2 as string)").alias("review_id"),
-        F.expr("cast(event_id div 6 as string)").alias("order_id"),
+        _unless(without_order, order).alias("order_id"),
         (1 + _prop("k") % 5).alias("review_score"),
         F.lit(None).cast("string").alias("review_comment_title"),
         F.lit(None).cast("string").alias("review_comment_message"),
@@ -147,3 +152,7 @@ def _reviews(events: DataFrame) -> DataFrame:
         _moment("ts").alias("review_answer_timestamp"),
         F.col("event_id").alias("arrival"),
     )
+
+
+def _unless(condition: Column | None, value: Column) -> Column:
+    return value if condition is None else F.when(~condition, value)
