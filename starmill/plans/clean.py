@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.functions.casts import typed
+from starmill.layer import Layer
 from starmill.operators.dedup import keep_one, require
 
 
@@ -119,18 +120,22 @@ def clean_reviews(reviews: DataFrame, prefer: Sequence[str] = ()) -> DataFrame:
 
 def clean(
     raw: Mapping[str, DataFrame], prefer: Mapping[str, Sequence[str]] | None = None
-) -> dict[str, DataFrame]:
+) -> Layer:
     """Clean all nine tables. ``prefer`` gives survivor order columns per table."""
-    prefer = dict(prefer or {})
-    categories = clean_categories(raw["categories"], prefer.get("categories", ()))
-    return {
-        "customers": clean_customers(raw["customers"], prefer.get("customers", ())),
-        "orders": clean_orders(raw["orders"], prefer.get("orders", ())),
-        "order_items": clean_order_items(raw["order_items"]),
-        "categories": categories,
-        "products": clean_products(raw["products"], categories, prefer.get("products", ())),
-        "sellers": clean_sellers(raw["sellers"], prefer.get("sellers", ())),
-        "geolocation": roll_up_geolocation(raw["geolocation"]),
-        "payments": clean_payments(raw["payments"], prefer.get("payments", ())),
-        "reviews": clean_reviews(raw["reviews"], prefer.get("reviews", ())),
-    }
+    first = {name: tuple((prefer or {}).get(name, ())) for name in raw}
+    tables = Layer(
+        {
+            "customers": lambda: clean_customers(raw["customers"], first["customers"]),
+            "orders": lambda: clean_orders(raw["orders"], first["orders"]),
+            "order_items": lambda: clean_order_items(raw["order_items"]),
+            "categories": lambda: clean_categories(raw["categories"], first["categories"]),
+            "products": lambda: clean_products(
+                raw["products"], tables["categories"], first["products"]
+            ),
+            "sellers": lambda: clean_sellers(raw["sellers"], first["sellers"]),
+            "geolocation": lambda: roll_up_geolocation(raw["geolocation"]),
+            "payments": lambda: clean_payments(raw["payments"], first["payments"]),
+            "reviews": lambda: clean_reviews(raw["reviews"], first["reviews"]),
+        }
+    )
+    return tables

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmill.layer import Layer, layer
 from starmill.operators.matching import keep_matching, orphan_keys
 
 GEO_ZIP = "geolocation_zip_code_prefix"
@@ -62,27 +63,34 @@ def with_geolocation(df: DataFrame, geolocation: DataFrame, zip_column: str) ->
     return df.join(geolocation, F.col(zip_column) == F.col(GEO_ZIP), "inner")
 
 
-def enforce_integrity(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def enforce_integrity(tables: Mapping[str, DataFrame]) -> Layer:
     """Drop rows whose parents are missing, from the parents down; one pass suffices.
 
     Orders without items, customers without orders, and products or sellers never sold
     all stay.
     """
-    geolocation = tables["geolocation"]
-    sellers = with_geolocation(tables["sellers"], geolocation, "seller_zip_code_prefix")
-    customers = with_geolocation(tables["customers"], geolocation, "customer_zip_code_prefix")
-    orders = keep_matching(tables["orders"], customers, "customer_id")
-    items = keep_matching(tables["order_items"], tables["products"], "product_id")
-    items = keep_matching(items, sellers, "seller_id")
-    return {
-        **tables,
-        "sellers": sellers,
-        "customers": customers,
-        "orders": orders,
-        "order_items": keep_matching(items, orders, "order_id"),
-        "reviews": keep_matching(tables["reviews"], orders, "order_id"),
-        "payments": keep_matching(tables["payments"], orders, "order_id"),
-    }
+
+    def located(name: str, zip_column: str) -> DataFrame:
+        return with_geolocation(tables[name], tables["geolocation"], zip_column)
+
+    def of_known_order(df: DataFrame) -> DataFrame:
+        return keep_matching(df, kept["orders"], "order_id")
+
+    def items() -> DataFrame:
+        sold = keep_matching(tables["order_items"], tables["products"], "product_id")
+        return of_known_order(keep_matching(sold, kept["sellers"], "seller_id"))
+
+    kept = layer(tables).replacing(
+        {
+            "sellers": lambda: located("sellers", "seller_zip_code_prefix"),
+            "customers": lambda: located("customers", "customer_zip_code_prefix"),
+            "orders": lambda: keep_matching(tables["orders"], kept["customers"], "customer_id"),
+            "order_items": items,
+            "reviews": lambda: of_known_order(tables["reviews"]),
+            "payments": lambda: of_known_order(tables["payments"]),
+        }
+    )
+    return kept
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from starmill import schemas
 from starmill.functions import calendar
 from starmill.functions.casts import as_text
+from starmill.layer import Layer
 from starmill.operators import constraints
 from starmill.operators.dedup import keep_one, require
 from starmill.operators.matching import keep_matching
@@ -33,7 +34,7 @@ class Inputs:
         self.folder = folder
 
     @cached_property
-    def raw(self) -> dict[str, DataFrame]:
+    def raw(self) -> Layer:
         return adapter.raw_tables(self.spark, self.folder)
 
     @cached_property
@@ -41,16 +42,16 @@ class Inputs:
         return self.spark.read.parquet(f"{self.folder}/events.parquet")
 
     @cached_property
-    def clean(self) -> dict[str, DataFrame]:
+    def clean(self) -> Layer:
         return cleaning.clean(self.raw, ARRIVAL)
 
     @cached_property
-    def enforced(self) -> dict[str, DataFrame]:
+    def enforced(self) -> Layer:
         return integrity.enforce_integrity(self.clean)
 
     @cached_property
-    def with_enforced_sellers(self) -> dict[str, DataFrame]:
-        return {**self.clean, "sellers": self.enforced["sellers"]}
+    def with_enforced_sellers(self) -> Layer:
+        return self.clean.replacing({"sellers": lambda: self.enforced["sellers"]})
 
     @cached_property
     def warehouse(self) -> Warehouse:

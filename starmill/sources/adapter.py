@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from starmill.layer import Layer
+
 # An item number must fit an INT, so an order of 2^31 items has at most 2^25 per slot.
 ITEM_SLOTS = 64
 
@@ -17,53 +19,67 @@ def _moment(column: str) -> Column:
     return F.col(column).cast("timestamp")
 
 
-def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All nine raw tables, lazily. Payments and reviews carry ``arrival``, their row order."""
+def raw_tables(spark: SparkSession, folder: str) -> Layer:
+    """All nine raw tables. Payments and reviews carry ``arrival``, their row order."""
 
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
-    places = table("nation").join(
-        table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "inner"
+    def located(name: str, nation: str) -> DataFrame:
+        places = table("nation").join(table("region"), F.expr("n_regionkey = r_regionkey"))
+        return table(name).join(places, F.col(nation) == F.col("n_nationkey"))
+
+    return Layer(
+        {
+            "customers": lambda: _customers(located("customer", "c_nationkey")),
+            "sellers": lambda: _sellers(located("supplier", "s_nationkey")),
+            "geolocation": lambda: _geolocation(located("customer", "c_nationkey")),
+            "categories": lambda: _categories(table("part")),
+            "products": lambda: _products(table("part")),
+            "orders": lambda: _orders(table("orders"), table("lineitem")),
+            "order_items": lambda: _order_items(table("lineitem")),
+            "payments": lambda: payments(table("events")),
+            "reviews": lambda: reviews(table("events")),
+        }
+    )
+
+
+def _customers(located: DataFrame) -> DataFrame:
+    return located.select(
+        _text("c_custkey").alias("customer_id"),
+        F.col("c_name").alias("customer_unique_id"),
+        F.col("n_name").alias("customer_city"),
+        F.col("r_name").alias("customer_state"),
+        _text("c_nationkey").alias("customer_zip_code_prefix"),
+    )
+
+
+def _sellers(located: DataFrame) -> DataFrame:
+    return located.select(
+        _text("s_suppkey").alias("seller_id"),
+        F.col("n_name").alias("seller_city"),
+        F.col("r_name").alias("seller_state"),
+        _text("s_nationkey").alias("seller_zip_code_prefix"),
+    )
+
+
+def _geolocation(located: DataFrame) -> DataFrame:
+    # Five zip prefixes are left unknown, so that the orphan checks have findings.
+    return located.where("c_nationkey < 20").select(
+        _text("c_nationkey").alias("geolocation_zip_code_prefix"),
+        F.col("n_name").alias("geolocation_city"),
+        F.col("r_name").alias("geolocation_state"),
+        F.col("c_acctbal").alias("geolocation_lat"),
+        F.col("c_custkey").cast("double").alias("geolocation_lng"),
+    )
+
+
+def _categories(part: DataFrame) -> DataFrame:
+    # One category stays untranslated, for the same reason.
+    names = part.select(F.col("p_type").alias("product_category_name")).distinct()
+    return names.where("product_category_name <> 'STANDARD'").withColumn(
+        "product_category_name_english", F.lower("product_category_name")
     )
-    customers = table("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-    sellers = table("supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey"))
-    return {
-        "customers": customers.select(
-            _text("c_custkey").alias("customer_id"),
-            F.col("c_name").alias("customer_unique_id"),
-            F.col("n_name").alias("customer_city"),
-            F.col("r_name").alias("customer_state"),
-            _text("c_nationkey").alias("customer_zip_code_prefix"),
-        ),
-        "sellers": sellers.select(
-            _text("s_suppkey").alias("seller_id"),
-            F.col("n_name").alias("seller_city"),
-            F.col("r_name").alias("seller_state"),
-            _text("s_nationkey").alias("seller_zip_code_prefix"),
-        ),
-        # Five zip prefixes are left unknown, so that the orphan checks have findings.
-        "geolocation": customers.where("c_nationkey < 20").select(
-            _text("c_nationkey").alias("geolocation_zip_code_prefix"),
-            F.col("n_name").alias("geolocation_city"),
-            F.col("r_name").alias("geolocation_state"),
-            F.col("c_acctbal").alias("geolocation_lat"),
-            F.col("c_custkey").cast("double").alias("geolocation_lng"),
-        ),
-        # One category stays untranslated, for the same reason.
-        "categories": table("part")
-        .where("p_type <> 'STANDARD'")
-        .select(
-            F.col("p_type").alias("product_category_name"),
-            F.lower("p_type").alias("product_category_name_english"),
-        )
-        .distinct(),
-        "products": _products(table("part")),
-        "orders": _orders(table("orders"), table("lineitem")),
-        "order_items": _order_items(table("lineitem")),
-        "payments": payments(table("events")),
-        "reviews": reviews(table("events")),
-    }
 
 
 def _products(part: DataFrame) -> DataFrame:

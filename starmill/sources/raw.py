@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starmill.layer import Layer
+
 RAW_TABLES = (
     "customers",
     "orders",
@@ -55,19 +58,20 @@ def read_raw(
     files: Mapping[str, str] | None = None,
     multiline: tuple[str, ...] = ("reviews",),
     plain: bool = False,
-) -> dict[str, DataFrame]:
+) -> Layer:
     """Read all raw tables under ``root``; ``files`` renames the file of a table.
 
     Only reviews carry free text, so only they are scanned as multi-line by default.
     """
     names = {t: f"{t}.{format}" for t in RAW_TABLES} | dict(files or {})
     paths = {t: f"{root.rstrip('/')}/{names[t]}" for t in RAW_TABLES}
-    if format == "parquet":
-        return {t: spark.read.parquet(path) for t, path in paths.items()}
-    if format != "csv":
+    if format not in ("csv", "parquet"):
         raise ValueError(f"unknown format {format!r}")
-    typed_at_scan = {"reviews": REVIEWS_SCHEMA}
-    return {
-        t: read_csv(spark, path, typed_at_scan.get(t), t in multiline, plain)
-        for t, path in paths.items()
-    }
+
+    def read(table: str) -> DataFrame:
+        if format == "parquet":
+            return spark.read.parquet(paths[table])
+        schema = REVIEWS_SCHEMA if table == "reviews" else None
+        return read_csv(spark, paths[table], schema, table in multiline, plain)
+
+    return Layer({t: partial(read, t) for t in RAW_TABLES})
