@@ -68,18 +68,20 @@ def date_attributes(df: DataFrame, column: str = "date") -> DataFrame:
     return df.withColumns({name: part(column) for name, part in parts.items()})
 
 
-def date_key(day: Column, bounds: DataFrame, closed: str = "both") -> Column:
-    """Key of a day in the spine of ``bounds``, by arithmetic; NULL outside the spine."""
-    span = bounds.select(F.struct("lo", "hi")).scalar()
-    position = F.date_diff(day, span.getField("lo")) + 1 - _skipped(closed)
-    return F.when((position >= 1) & (day <= span.getField("hi")), position)
+def date_key(day: Column, lo: Column, hi: Column, closed: str = "both") -> Column:
+    """Key of a day in the spine from lo to hi, by arithmetic; NULL outside the spine."""
+    position = F.date_diff(day, lo) + 1 - _skipped(closed)
+    return F.when((position >= 1) & (day <= hi), position)
 
 
 def add_date_keys(
     df: DataFrame, days: dict[str, str], bounds: DataFrame, closed: str = "both"
 ) -> DataFrame:
     """Add a key column per entry of ``days`` (key column -> date column)."""
-    return df.withColumns({sk: date_key(F.col(d), bounds, closed) for sk, d in days.items()})
+    span = bounds.select(F.struct("lo", "hi")).scalar()
+    lo, hi = F.col("_span.lo"), F.col("_span.hi")
+    keys = {sk: date_key(F.col(day), lo, hi, closed) for sk, day in days.items()}
+    return df.withColumn("_span", span).withColumns(keys).drop("_span")
 
 
 def join_date_keys(df: DataFrame, days: dict[str, str], dim_date: DataFrame) -> DataFrame:

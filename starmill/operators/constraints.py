@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 from starmill import schemas
 
 
-def _repeats(df: DataFrame, column: str) -> DataFrame:
-    """(key, copies) of keys that occur more than once, NULL left out."""
-    counted = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("key"))
-    return counted.agg(F.count("*").alias("copies")).where("copies > 1")
+def _copies(df: DataFrame, column: str) -> DataFrame:
+    """(key, copies) of every key, the NULL key included."""
+    return df.groupBy(F.col(column).alias("key")).agg(F.count("*").alias("copies"))
 
 
 def _labelled(df: DataFrame, table: str, column: str) -> DataFrame:
@@ -25,36 +24,37 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def check_primary_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows that a primary key would reject: NULL keys, and copies beyond the first."""
+def _rejected(tables: Mapping[str, DataFrame], declared: Mapping[str, str], nulls: str) -> DataFrame:
+    """Rows beyond the first of each key, plus ``nulls`` of the copies of the NULL key."""
+    rejected = F.when(F.col("key").isNull(), F.expr(nulls)).otherwise(F.col("copies") - 1)
     found = []
-    for table, column in schemas.PRIMARY_KEY.items():
-        copies = _repeats(tables[table], column).select((F.col("copies") - 1).alias("rejected"))
-        missing = tables[table].where(F.col(column).isNull()).select(F.lit(1).alias("rejected"))
-        total = copies.union(missing).agg(F.coalesce(F.sum("rejected"), F.lit(0)).alias("violations"))
-        found.append(_labelled(total, table, column))
+    for table, column in declared.items():
+        total = F.coalesce(F.sum(rejected), F.lit(0)).alias("violations")
+        found.append(_labelled(_copies(tables[table], column).agg(total), table, column))
     return _union(found)
 
 
+def check_primary_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows that a primary key would reject: NULL keys, and copies beyond the first."""
+    return _rejected(tables, schemas.PRIMARY_KEY, nulls="copies")
+
+
 def check_unique_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows that a UNIQUE constraint would reject; NULL may repeat."""
-    found = []
-    for table, column in schemas.UNIQUE_KEY.items():
-        total = _repeats(tables[table], column).agg(
-            F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("violations")
-        )
-        found.append(_labelled(total, table, column))
-    return _union(found)
+    return _rejected(tables, schemas.UNIQUE_KEY, nulls="0")
 
 
 def repeated_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The offending keys of primary and unique constraints (table, key name, key, copies)."""
+    """The offending keys: NULL primary keys, and keys that occur more than once."""
     found = []
-    for declared in (schemas.PRIMARY_KEY, schemas.UNIQUE_KEY):
+    for declared, wrong in (
+        (schemas.PRIMARY_KEY, "key is null or copies > 1"),
+        (schemas.UNIQUE_KEY, "key is not null and copies > 1"),
+    ):
         for table, column in declared.items():
-            repeats = _repeats(tables[table], column)
-            found.append(_labelled(repeats, table, column))
-    return _union([f.withColumn("key", F.col("key").cast("string")) for f in found])
+            keys = _copies(tables[table], column).where(wrong)
+            found.append(_labelled(keys.withColumn("key", F.col("key").cast("string")), table, column))
+    return _union(found)
 
 
 def _dangling(tables: Mapping[str, DataFrame], child: str) -> DataFrame:

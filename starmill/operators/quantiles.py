@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.operators.keys import surrogate_key
@@ -21,18 +21,20 @@ def exact_quantiles(
     """
     present = df.where(F.col(value).isNotNull()).select(value, tie)
     ranked = surrogate_key(present, "_rank", [value, tie], keep=[value])
-    last = ranked.agg((F.count("*") - 1).alias("last")).scalar()
+    sized = ranked.withColumn("_last", ranked.agg(F.count("*") - 1).scalar())
 
-    def at(rank):
-        return F.max(F.when(F.col("_rank") == rank + 1, F.col(value)))
+    def value_at(index: Column) -> Column:
+        return F.max(F.when(F.col("_rank") == index + 1, F.col(value)))
 
     picks, results = [], []
     for name, (numerator, denominator) in cuts.items():
-        steps = last * numerator
+        steps = F.col("_last") * numerator
         below = F.floor(steps / denominator)
-        share = (steps % denominator) / denominator
-        above = below + F.when(share > 0, 1).otherwise(0)
-        picks += [at(below).alias(f"{name}_below"), at(above).alias(f"{name}_above")]
-        low, high = F.col(f"{name}_below"), F.col(f"{name}_above")
-        results.append((low + (high - low) * share).alias(name))
-    return ranked.agg(*picks).select(*results)
+        share = steps % denominator / denominator
+        picks += [
+            value_at(below).alias(f"{name}_below"),
+            value_at(below + F.when(share > 0, 1).otherwise(0)).alias(f"{name}_above"),
+            F.max(share).alias(f"{name}_share"),
+        ]
+        results.append(F.expr(f"{name}_below + ({name}_above - {name}_below) * {name}_share").alias(name))
+    return sized.agg(*picks).select(*results)

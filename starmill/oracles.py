@@ -440,7 +440,7 @@ BODIES = {
         LEFT JOIN dim_reviews r ON f.review_sk = r.review_sk
         LEFT JOIN dim_date d ON f.order_purchase_date_sk = d.date_sk""",
     "order_payment_detail": """
-        SELECT customer_sk, order_id, payment_sequential, payment_type, payment_installments,
+        SELECT order_id, payment_sequential, payment_type, payment_installments,
                payment_value, payment_date_sk, payment_timestamp, customer_id, customer_unique_id
         FROM fact_orderpayments JOIN dim_customers USING (customer_sk)""",
 }

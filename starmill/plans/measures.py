@@ -130,15 +130,15 @@ def customer_segments(
             spend, "spend", {"lower": (1, 3), "upper": (2, 3)}, "customer_unique_id"
         )
         limits = cuts.select(F.struct("lower", "upper")).scalar()
-        lower, upper = limits.getField("lower"), limits.getField("upper")
     else:
         lower, upper = (F.lit(float(c)) for c in cut_points)
+        limits = F.struct(lower.alias("lower"), upper.alias("upper"))
     segment = (
-        F.when(F.col("spend") >= upper, "High")
-        .when(F.col("spend") >= lower, "Medium")
+        F.when(F.col("spend") >= F.col("_cut.upper"), "High")
+        .when(F.col("spend") >= F.col("_cut.lower"), "Medium")
         .otherwise("Low")
     )
-    return spend.withColumn("segment", segment)
+    return spend.withColumn("_cut", limits).withColumn("segment", segment).drop("_cut")
 
 
 def segment_summary(segments: DataFrame) -> DataFrame:

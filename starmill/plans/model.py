@@ -56,7 +56,9 @@ class Warehouse:
     ``closed`` says whether the date spine includes the first purchase day (``both``) or
     starts a day later (``right``). ``text_item_order`` numbers the order fact by the
     text of the item number. ``date_columns`` are further order timestamps that widen
-    the spine. ``key_method`` is that of :func:`surrogate_key`.
+    the spine. ``key_method`` is that of :func:`surrogate_key`, or ``natural``: dimensions
+    are then keyed by their natural key and facts are not numbered, which is all that
+    measures need.
     """
 
     tables: Mapping[str, DataFrame]
@@ -65,14 +67,22 @@ class Warehouse:
     date_columns: Sequence[str] = ()
     key_method: str = "ranged"
 
-    def _keyed(self, df, name, keys, keep=None):
+    def _dimension_key(self, df: DataFrame, name: str, natural: str) -> DataFrame:
+        if self.key_method == "natural":
+            return df.select(F.col(natural).alias(name), "*")
+        return surrogate_key(df, name, [natural], method=self.key_method)
+
+    def _fact_key(self, df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
+        name, *keep = schemas.columns(table)
+        if self.key_method == "natural":
+            raise ValueError(f"{table} needs numbered keys")
         return surrogate_key(df, name, keys, keep, self.key_method)
 
     def _entity(self, df: DataFrame, table: str, **renamed: str) -> DataFrame:
         sk, natural = schemas.PRIMARY_KEY[table], schemas.UNIQUE_KEY[table]
         wanted = [c for c in schemas.columns(table) if c != sk]
         known = df.dropna(subset=[natural]).withColumnsRenamed(renamed).select(*wanted)
-        return self._keyed(known, sk, [natural])
+        return self._dimension_key(known, sk, natural)
 
     @cached_property
     def dim_customers(self) -> DataFrame:
@@ -113,7 +123,7 @@ class Warehouse:
         known = keep_matching(self.tables["reviews"], self.orders, "order_id")
         wanted = [c for c in schemas.columns("dim_reviews") if c != "review_sk"]
         named = known.dropna(subset=["review_id"]).select(*wanted, "order_id")
-        return self._keyed(named, "review_sk", ["review_id"])
+        return self._dimension_key(named, "review_sk", "review_id")
 
     @property
     def dim_reviews(self) -> DataFrame:
@@ -156,8 +166,7 @@ class Warehouse:
         # The columns after review_id only matter where an item number repeats in an order.
         keys = ["order_id", *numeric, "item_text", "review_id", "product_id", "seller_id"]
         keys += ["shipping_limit_date", "price", "freight_value"]
-        keep = [c for c in schemas.columns("fact_orderlifecycle") if c != "order_sk"]
-        return self._keyed(self.lifecycle_rows, "order_sk", keys, keep)
+        return self._fact_key(self.lifecycle_rows, "fact_orderlifecycle", keys)
 
     @cached_property
     def payment_rows(self) -> DataFrame:
@@ -179,8 +188,7 @@ class Warehouse:
     @cached_property
     def fact_orderpayments(self) -> DataFrame:
         keys = ["order_id", "payment_sequential", "sequential_text"]
-        keep = [c for c in schemas.columns("fact_orderpayments") if c != "payment_sk"]
-        return self._keyed(self.payment_rows, "payment_sk", keys, keep)
+        return self._fact_key(self.payment_rows, "fact_orderpayments", keys)
 
     def table(self, name: str) -> DataFrame:
         """A warehouse table by its declared name, surrogate keys as bigint."""
