@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,5 +31,5 @@ def keep_one(df: DataFrame, keys: Sequence[str], prefer: Sequence[str | Column]
 
 
 def require(df: DataFrame, *names: str) -> DataFrame:
-    """Drop rows where any of the named columns is NULL."""
-    return df.dropna(subset=list(names))
+    """Drop rows where any of the named columns is NULL; the scan can skip them."""
+    return df.where(reduce(Column.__and__, [F.col(n).isNotNull() for n in names]))

@@ -6,12 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def lookup(df: DataFrame, key: str, *tables: DataFrame, how: str = "inner") -> DataFrame:
+    """Join ``df`` to each table on ``key`` so that Spark can split a very frequent key.
+
+    Adaptive execution splits an oversized partition only where both inputs come straight
+    from a shuffle. A table that was just grouped by the key would be joined without one.
+    The key's hash as a second join column asks for a partitioning that no grouping by
+    the key has left behind, at the price of shuffling the lookup table once more. Several
+    tables share one shuffle of ``df``.
+    """
+
+    def marked(side: DataFrame) -> DataFrame:
+        return side.withColumn("_hash", F.xxhash64(key))
+
+    joined = marked(df)
+    for table in tables:
+        joined = joined.join(marked(table), [key, "_hash"], how)
+    return joined.drop("_hash")
+
+
 def keep_matching(
     df: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None
 ) -> DataFrame:
     """Rows of ``df`` whose key exists in ``parent``; never multiplies rows."""
     wanted = parent.select(F.col(parent_key or key).alias(key))
-    return df.join(wanted, key, "left_semi").select(*df.columns)
+    return lookup(df, key, wanted, how="left_semi").select(*df.columns)
 
 
 def orphan_keys(

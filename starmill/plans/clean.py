@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starmill.functions.casts import typed
 from starmill.layer import Layer
 from starmill.operators.dedup import keep_one, require
+from starmill.operators.matching import lookup
 
 
 def clean_customers(customers: DataFrame, prefer: Sequence[str] = ()) -> DataFrame:
@@ -60,7 +61,7 @@ def type_products(products: DataFrame) -> DataFrame:
 
 def translate_products(products: DataFrame, categories: DataFrame) -> DataFrame:
     """Add the English category. Products without a translated category are left out."""
-    return products.join(categories, "product_category_name", "inner")
+    return lookup(products, "product_category_name", categories)
 
 
 def clean_products(

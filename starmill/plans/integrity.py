@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.layer import Layer, layer
-from starmill.operators.matching import keep_matching, orphan_keys
+from starmill.operators.matching import keep_matching, lookup, orphan_keys
 
 GEO_ZIP = "geolocation_zip_code_prefix"
 
@@ -60,7 +60,8 @@ def integrity_report(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def with_geolocation(df: DataFrame, geolocation: DataFrame, zip_column: str) -> DataFrame:
     """Rows whose zip prefix is known, widened by the geolocation columns."""
-    return df.join(geolocation, F.col(zip_column) == F.col(GEO_ZIP), "inner")
+    places = geolocation.withColumn(zip_column, F.col(GEO_ZIP))
+    return lookup(df, zip_column, places).select(*df.columns, *geolocation.columns)
 
 
 def enforce_integrity(tables: Mapping[str, DataFrame]) -> Layer:

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmill.operators.matching import keep_matching, lookup
 from starmill.operators.quantiles import exact_quantiles
 
 
@@ -109,7 +110,7 @@ def customer_spend(payments: DataFrame, customers: DataFrame) -> DataFrame:
     per_key = payments.groupBy("customer_sk").agg(F.sum("payment_value").alias("spend"))
     people = customers.select("customer_sk", "customer_unique_id")
     return (
-        per_key.join(people, "customer_sk")
+        lookup(per_key, "customer_sk", people)
         .groupBy("customer_unique_id")
         .agg(F.sum("spend").alias("spend"))
     )
@@ -177,7 +178,7 @@ def sales_by_category(
     fact: DataFrame, products: DataFrame, statuses: Sequence[str] | None = None
 ) -> DataFrame:
     named = products.select("product_sk", F.col("product_category_english_name").alias("category"))
-    return _sales(item_grain(fact, statuses).join(named, "product_sk"), "category")
+    return _sales(lookup(item_grain(fact, statuses), "product_sk", named), "category")
 
 
 def sales_by_state(
@@ -192,7 +193,7 @@ def sales_by_state(
     )
     states = customers.select("customer_sk", "customer_state")
     return (
-        per_customer.join(states, "customer_sk")
+        lookup(per_customer, "customer_sk", states)
         .groupBy("customer_state")
         .agg(F.sum("total_sales").alias("total_sales"), F.sum("orders").alias("orders"))
     )
@@ -222,7 +223,7 @@ def _wanted(df: DataFrame, orders: DataFrame | Sequence[str] | None) -> DataFram
     if orders is None:
         return df
     if isinstance(orders, DataFrame):
-        return df.join(orders.select("order_id"), "order_id", "left_semi")
+        return keep_matching(df, orders, "order_id")
     return df.where(F.col("order_id").isin(*orders))
 
 
@@ -245,14 +246,16 @@ def order_detail(
         F.col("year").alias("purchase_year"),
         F.col("month").alias("purchase_month"),
     )
-    return (
-        _wanted(fact, orders)
-        .join(customers, "customer_sk")
-        .join(products, "product_sk")
-        .join(sellers, "seller_sk")
-        .join(reviews, "review_sk", "left")
-        .join(days, "order_purchase_date_sk", "left")
-    )
+    detail = _wanted(fact, orders)
+    for table, key, how in (
+        (customers, "customer_sk", "inner"),
+        (products, "product_sk", "inner"),
+        (sellers, "seller_sk", "inner"),
+        (reviews, "review_sk", "left"),
+        (days, "order_purchase_date_sk", "left"),
+    ):
+        detail = lookup(detail, key, table, how=how)
+    return detail
 
 
 def order_payment_detail(
@@ -262,4 +265,4 @@ def order_payment_detail(
 ) -> DataFrame:
     """Payment rows of the given orders. Kept apart: joined to items they would multiply."""
     names = customers.select("customer_sk", "customer_id", "customer_unique_id")
-    return _wanted(payments, orders).join(names, "customer_sk")
+    return lookup(_wanted(payments, orders), "customer_sk", names)

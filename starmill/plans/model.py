@@ -18,8 +18,9 @@ from starmill.functions.calendar import (
     event_dates,
 )
 from starmill.functions.casts import typed
+from starmill.operators.dedup import require
 from starmill.operators.keys import surrogate_key
-from starmill.operators.matching import keep_matching
+from starmill.operators.matching import keep_matching, lookup
 from starmill.plans.integrity import GEO_ZIP
 from starmill.staging import stage
 
@@ -81,7 +82,7 @@ class Warehouse:
     def _entity(self, df: DataFrame, table: str, **renamed: str) -> DataFrame:
         sk, natural = schemas.PRIMARY_KEY[table], schemas.UNIQUE_KEY[table]
         wanted = [c for c in schemas.columns(table) if c != sk]
-        known = df.dropna(subset=[natural]).withColumnsRenamed(renamed).select(*wanted)
+        known = require(df, natural).withColumnsRenamed(renamed).select(*wanted)
         return self._dimension_key(known, sk, natural)
 
     @cached_property
@@ -115,14 +116,14 @@ class Warehouse:
     def orders(self) -> DataFrame:
         """Orders of known customers, with the customer's key."""
         customers = self.dim_customers.select("customer_id", "customer_sk")
-        return stage(self.tables["orders"].join(customers, "customer_id"), "orders")
+        return stage(lookup(self.tables["orders"], "customer_id", customers), "orders")
 
     @cached_property
     def reviews(self) -> DataFrame:
         """Reviews of known orders, with their key and still with their order."""
         known = keep_matching(self.tables["reviews"], self.orders, "order_id")
         wanted = [c for c in schemas.columns("dim_reviews") if c != "review_sk"]
-        named = known.dropna(subset=["review_id"]).select(*wanted, "order_id")
+        named = require(known, "review_id").select(*wanted, "order_id")
         return self._dimension_key(named, "review_sk", "review_id")
 
     @property
@@ -143,14 +144,11 @@ class Warehouse:
         products = self.dim_products.select("product_id", "product_sk")
         sellers = self.dim_sellers.select("seller_id", "seller_sk")
         links = review_links(self.orders, self.reviews)
-        # The two joins on order_id come last and next to each other: one shuffle serves both.
-        joined = (
-            self.tables["order_items"]
-            .join(products, "product_id")
-            .join(sellers, "seller_id")
-            .join(self.orders, "order_id")
-            .join(links, "order_id")
-        )
+        items = lookup(self.tables["order_items"], "product_id", products)
+        items = lookup(items, "seller_id", sellers)
+        # Links before orders: the first join of the two is where a large order on either
+        # side gets split, and once split the second join is shuffled and split as well.
+        joined = lookup(items, "order_id", links, self.orders)
         dated = add_date_keys(
             event_dates(joined), LIFECYCLE_DATE_KEYS, self.date_bounds, self.closed
         )
@@ -172,7 +170,7 @@ class Warehouse:
     def payment_rows(self) -> DataFrame:
         """The payment fact before it is numbered. Its time is the order's purchase time."""
         orders = self.orders.select("order_id", "customer_sk", "order_purchase_timestamp")
-        joined = self.tables["payments"].join(orders, "order_id")
+        joined = lookup(self.tables["payments"], "order_id", orders)
         dated = add_date_keys(
             joined.withColumn("payment_day", F.to_date("order_purchase_timestamp")),
             {"payment_date_sk": "payment_day"},

@@ -119,6 +119,8 @@ def _order_items(lineitem: DataFrame) -> DataFrame:
     # Items are numbered within (order, slot) and the slot is part of the number: unique
     # in the order, and a very large order is spread over as many groups as it has slots.
     slot = F.expr(f"pmod(l_partkey * 31 + l_suppkey * 7 + l_linenumber, {ITEM_SLOTS})")
+    # Never NULL, which lets Spark leave the numbering out where nobody reads it.
+    slot = F.coalesce(slot, F.lit(0))
     lines = lineitem.select(
         _text("l_orderkey").alias("order_id"),
         _text("l_partkey").alias("product_id"),
