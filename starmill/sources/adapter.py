@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ def _moment(column: str) -> Column:
 def raw_tables(spark: SparkSession, folder: str) -> Layer:
     """All nine raw tables. Payments and reviews carry ``arrival``, their row order."""
 
+    @cache
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
 

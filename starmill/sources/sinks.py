@@ -10,6 +10,10 @@ from starmill import schemas
 from starmill.plans.model import Warehouse
 from starmill.staging import release_staged
 
+# A database takes far fewer writers than a cluster has tasks.
+CONNECTIONS = "64"
+BATCH_ROWS = "10000"
+
 
 def write_parquet(df: DataFrame, root: str, table: str, mode: str = "append") -> None:
     df.write.mode(mode).parquet(f"{root.rstrip('/')}/{table}")
@@ -25,9 +29,11 @@ def write_jdbc(
     """Write to a database table; ``overwrite`` empties the table and keeps its keys.
 
     Each task commits for itself, so a task that is run again after its commit was lost
-    sends its rows again: the target's primary key is what rejects them.
+    sends its rows again: the target's primary key is what rejects them, and a load with
+    ``overwrite`` is how to start over. ``properties`` may hold any option of Spark's
+    writer besides the login, such as ``numPartitions``, the number of connections.
     """
-    extra = dict(properties or {})
+    extra = {"numPartitions": CONNECTIONS, "batchsize": BATCH_ROWS, **(properties or {})}
     if mode == "overwrite":
         extra.setdefault("truncate", "true")
     df.write.jdbc(url=url, table=table, mode=mode, properties=extra)
