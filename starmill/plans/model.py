@@ -73,10 +73,12 @@ class Warehouse:
             return df.select(F.col(natural).alias(name), "*")
         return surrogate_key(df, name, [natural], method=self.key_method)
 
-    def _fact_key(self, df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
-        name, *keep = schemas.columns(table)
+    def _numbered(self, df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
+        """``df`` with the key of a fact table, reduced to that table's columns."""
+        name, *wanted = schemas.columns(table)
         if self.key_method == "natural":
             raise ValueError(f"{table} needs numbered keys")
+        keep = [c for c in wanted if c in df.columns]
         return surrogate_key(df, name, keys, keep, self.key_method)
 
     def _entity(self, df: DataFrame, table: str, **renamed: str) -> DataFrame:
@@ -139,8 +141,8 @@ class Warehouse:
         return date_attributes(date_spine(self.date_bounds, self.closed))
 
     @cached_property
-    def lifecycle_rows(self) -> DataFrame:
-        """The order fact before it is numbered: every item with every review of its order."""
+    def item_rows(self) -> DataFrame:
+        """Every item with every review of its order, and the keys of its entities."""
         products = self.dim_products.select("product_id", "product_sk")
         sellers = self.dim_sellers.select("seller_id", "seller_sk")
         links = review_links(self.orders, self.reviews)
@@ -149,44 +151,57 @@ class Warehouse:
         # Links before orders: the first join of the two is where a large order on either
         # side gets split, and once split the second join is shuffled and split as well.
         joined = lookup(items, "order_id", links, self.orders)
-        dated = add_date_keys(
-            event_dates(joined), LIFECYCLE_DATE_KEYS, self.date_bounds, self.closed
+        return joined.withColumn("item_text", F.col("order_item_id")).transform(
+            typed, order_item_id="int"
         )
-        return (
-            dated.withColumn("total_price", F.col("price") + F.col("freight_value"))
-            .withColumn("item_text", F.col("order_item_id"))
-            .transform(typed, order_item_id="int")
+
+    def _lifecycle(self, items: DataFrame) -> DataFrame:
+        dated = add_date_keys(
+            event_dates(items), LIFECYCLE_DATE_KEYS, self.date_bounds, self.closed
         )
+        return dated.withColumn("total_price", F.col("price") + F.col("freight_value"))
+
+    @cached_property
+    def lifecycle_rows(self) -> DataFrame:
+        """The order fact without its number."""
+        return self._lifecycle(self.item_rows)
 
     @cached_property
     def fact_orderlifecycle(self) -> DataFrame:
         numeric = [] if self.text_item_order else ["order_item_id"]
-        # The columns after review_id only matter where an item number repeats in an order.
-        keys = ["order_id", *numeric, "item_text", "review_id", "product_id", "seller_id"]
+        # review_sk orders like review_id. What follows it only matters where an item
+        # number repeats in an order.
+        keys = ["order_id", *numeric, "item_text", "review_sk", "product_sk", "seller_sk"]
         keys += ["shipping_limit_date", "price", "freight_value"]
-        return self._fact_key(self.lifecycle_rows, "fact_orderlifecycle", keys)
+        # Date keys and the total are derived after the numbering, so they are not shuffled.
+        return self._lifecycle(self._numbered(self.item_rows, "fact_orderlifecycle", keys))
 
     @cached_property
-    def payment_rows(self) -> DataFrame:
-        """The payment fact before it is numbered. Its time is the order's purchase time."""
-        orders = self.orders.select("order_id", "customer_sk", "order_purchase_timestamp")
+    def order_payments(self) -> DataFrame:
+        """Every payment of a known order, dated by the order's purchase."""
+        orders = self.orders.select(
+            "order_id", "customer_sk", F.col("order_purchase_timestamp").alias("payment_timestamp")
+        )
         joined = lookup(self.tables["payments"], "order_id", orders)
-        dated = add_date_keys(
-            joined.withColumn("payment_day", F.to_date("order_purchase_timestamp")),
-            {"payment_date_sk": "payment_day"},
-            self.date_bounds,
-            self.closed,
+        return joined.withColumn("sequential_text", F.col("payment_sequential")).transform(
+            typed, payment_sequential="int"
         )
-        return (
-            dated.withColumnRenamed("order_purchase_timestamp", "payment_timestamp")
-            .withColumn("sequential_text", F.col("payment_sequential"))
-            .transform(typed, payment_sequential="int")
+
+    def _payments(self, payments: DataFrame) -> DataFrame:
+        days = payments.withColumn("payment_day", F.to_date("payment_timestamp"))
+        return add_date_keys(
+            days, {"payment_date_sk": "payment_day"}, self.date_bounds, self.closed
         )
 
+    @cached_property
+    def payment_rows(self) -> DataFrame:
+        """The payment fact without its number."""
+        return self._payments(self.order_payments)
+
     @cached_property
     def fact_orderpayments(self) -> DataFrame:
         keys = ["order_id", "payment_sequential", "sequential_text"]
-        return self._fact_key(self.payment_rows, "fact_orderpayments", keys)
+        return self._payments(self._numbered(self.order_payments, "fact_orderpayments", keys))
 
     def table(self, name: str) -> DataFrame:
         """A warehouse table by its declared name, surrogate keys as bigint."""
