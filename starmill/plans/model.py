@@ -140,21 +140,31 @@ class Warehouse:
     def dim_date(self) -> DataFrame:
         return date_attributes(date_spine(self.date_bounds, self.closed))
 
-    @cached_property
-    def item_rows(self) -> DataFrame:
-        """Every item with every review of its order, and the keys of its entities."""
+    def _items_of(self, *tables: DataFrame) -> DataFrame:
+        """Items of known products and sellers, joined to tables by order."""
         products = self.dim_products.select("product_id", "product_sk")
         sellers = self.dim_sellers.select("seller_id", "seller_sk")
-        links = review_links(self.orders, self.reviews)
         items = lookup(self.tables["order_items"], "product_id", products)
-        items = lookup(items, "seller_id", sellers)
-        # Links before orders: the first join of the two is where a large order on either
-        # side gets split, and once split the second join is shuffled and split as well.
-        joined = lookup(items, "order_id", links, self.orders)
+        joined = lookup(lookup(items, "seller_id", sellers), "order_id", *tables)
         return joined.withColumn("item_text", F.col("order_item_id")).transform(
             typed, order_item_id="int"
         )
 
+    @cached_property
+    def item_rows(self) -> DataFrame:
+        """Every item with every review of its order, and the keys of its entities."""
+        # Links before orders: the first join of the two is where a large order on either
+        # side gets split, and once split the second join is shuffled and split as well.
+        return self._items_of(review_links(self.orders, self.reviews), self.orders)
+
+    @cached_property
+    def sales_rows(self) -> DataFrame:
+        """The order fact without number and before reviews repeat its items.
+
+        Measures that count an item or an order once give the same on these rows.
+        """
+        return self._lifecycle(self._items_of(self.orders))
+
     def _lifecycle(self, items: DataFrame) -> DataFrame:
         dated = add_date_keys(
             event_dates(items), LIFECYCLE_DATE_KEYS, self.date_bounds, self.closed

@@ -257,15 +257,15 @@ def check_foreign_keys(x: Inputs) -> DataFrame:
 
 
 def total_sales(x: Inputs) -> DataFrame:
-    return _rounded(measures.total_sales(x.unnumbered.lifecycle_rows), 2, "total_sales")
+    return _rounded(measures.total_sales(x.unnumbered.sales_rows), 2, "total_sales")
 
 
 def order_count(x: Inputs) -> DataFrame:
-    return measures.order_count(x.unnumbered.lifecycle_rows)
+    return measures.order_count(x.unnumbered.sales_rows)
 
 
 def on_time_delivery(x: Inputs) -> DataFrame:
-    return _rounded(measures.on_time_delivery(x.unnumbered.lifecycle_rows), 6, "on_time_pct")
+    return _rounded(measures.on_time_delivery(x.unnumbered.sales_rows), 6, "on_time_pct")
 
 
 def payment_mix(x: Inputs) -> DataFrame:
@@ -294,21 +294,21 @@ def review_nps(x: Inputs) -> DataFrame:
 
 
 def sales_by_month(x: Inputs) -> DataFrame:
-    return _rounded(measures.sales_by_month(x.unnumbered.lifecycle_rows), 2, "total_sales")
+    return _rounded(measures.sales_by_month(x.unnumbered.sales_rows), 2, "total_sales")
 
 
 def sales_by_category(x: Inputs) -> DataFrame:
     w = x.unnumbered
-    return _rounded(measures.sales_by_category(w.lifecycle_rows, w.dim_products), 2, "total_sales")
+    return _rounded(measures.sales_by_category(w.sales_rows, w.dim_products), 2, "total_sales")
 
 
 def sales_by_state(x: Inputs) -> DataFrame:
     w = x.unnumbered
-    return _rounded(measures.sales_by_state(w.lifecycle_rows, w.dim_customers), 2, "total_sales")
+    return _rounded(measures.sales_by_state(w.sales_rows, w.dim_customers), 2, "total_sales")
 
 
 def lifecycle_by_status(x: Inputs) -> DataFrame:
-    by_status = measures.lifecycle_by_status(x.unnumbered.lifecycle_rows)
+    by_status = measures.lifecycle_by_status(x.unnumbered.sales_rows)
     return _rounded(by_status, 6, *measures.LIFECYCLE_STEPS)
 
 

@@ -29,6 +29,15 @@ def test_sales_count_each_item_once(fact):
     assert rows(measures.order_count(fact)) == [(3,)]
 
 
+def test_rows_before_reviews_give_the_same_measures(warehouse, fact):
+    assert warehouse.sales_rows.count() < fact.count()
+    for measure in (
+        measures.total_sales, measures.order_count, measures.on_time_delivery,
+        measures.sales_by_month, measures.lifecycle_by_status,
+    ):
+        assert rows(measure(warehouse.sales_rows)) == rows(measure(fact))
+
+
 def test_on_time(fact):
     assert rows(measures.on_time_delivery(fact)) == [(1, 2, 50.0)]
     assert rows(measures.on_time_delivery(fact, ["canceled"])) == [(0, 0, None)]
