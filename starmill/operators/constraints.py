@@ -24,7 +24,9 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _rejected(tables: Mapping[str, DataFrame], declared: Mapping[str, str], nulls: str) -> DataFrame:
+def _rejected(
+    tables: Mapping[str, DataFrame], declared: Mapping[str, str], nulls: str
+) -> DataFrame:
     """Rows beyond the first of each key, plus ``nulls`` of the copies of the NULL key."""
     rejected = F.when(F.col("key").isNull(), F.expr(nulls)).otherwise(F.col("copies") - 1)
     found = []
@@ -53,7 +55,8 @@ def repeated_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
     ):
         for table, column in declared.items():
             keys = _copies(tables[table], column).where(wrong)
-            found.append(_labelled(keys.withColumn("key", F.col("key").cast("string")), table, column))
+            keys = keys.withColumn("key", F.col("key").cast("string"))
+            found.append(_labelled(keys, table, column))
     return _union(found)
 
 

@@ -36,5 +36,6 @@ def exact_quantiles(
             value_at(below + F.when(share > 0, 1).otherwise(0)).alias(f"{name}_above"),
             F.max(share).alias(f"{name}_share"),
         ]
-        results.append(F.expr(f"{name}_below + ({name}_above - {name}_below) * {name}_share").alias(name))
+        between = f"{name}_below + ({name}_above - {name}_below) * {name}_share"
+        results.append(F.expr(between).alias(name))
     return sized.agg(*picks).select(*results)

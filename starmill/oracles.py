@@ -6,7 +6,9 @@ import re
 
 # Each entry is one common table expression; a query is given those it refers to.
 TABLES = {
-    "places": "SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey",
+    "places": """
+        SELECT n_nationkey, n_name, r_name
+        FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "raw_customers": """
         SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_unique_id,
                n_name AS customer_city, r_name AS customer_state,
@@ -75,7 +77,8 @@ TABLES = {
         FROM event_props""",
     "payments": """
         SELECT * EXCLUDE (arrival) FROM raw_payments
-        QUALIFY row_number() OVER (PARTITION BY order_id, payment_sequential ORDER BY arrival) = 1""",
+        QUALIFY row_number() OVER (
+            PARTITION BY order_id, payment_sequential ORDER BY arrival) = 1""",
     "reviews": """
         SELECT * EXCLUDE (arrival, failed) FROM raw_reviews
         QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY arrival) = 1""",

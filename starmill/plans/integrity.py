@@ -52,7 +52,7 @@ def integrity_findings(tables: Mapping[str, DataFrame]) -> DataFrame:
 def integrity_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per check (check, orphans), also where nothing was found."""
     counted = [
-        check(tables).agg(F.count("*").alias("orphans")).select(F.lit(name).alias("check"), "orphans")
+        check(tables).agg(F.lit(name).alias("check"), F.count("*").alias("orphans"))
         for name, check in CHECKS.items()
     ]
     return reduce(DataFrame.unionByName, counted)
@@ -97,7 +97,7 @@ def enforce_integrity(tables: Mapping[str, DataFrame]) -> Layer:
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table (table_name, row_count)."""
     counted = [
-        df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        df.agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"))
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counted)

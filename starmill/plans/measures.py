@@ -99,10 +99,8 @@ def payments_month_over_month(payments: DataFrame) -> DataFrame:
     )
     # At most one row per month of the calendar, so one task is enough.
     before = F.lag("value").over(Window.orderBy("month"))
-    return (
-        filled.withColumn("previous_value", before)
-        .withColumn("growth_pct", _percent(F.expr("value - previous_value"), F.col("previous_value")))
-    )
+    growth = _percent(F.expr("value - previous_value"), F.col("previous_value"))
+    return filled.withColumn("previous_value", before).withColumn("growth_pct", growth)
 
 
 def customer_spend(payments: DataFrame, customers: DataFrame) -> DataFrame:
@@ -214,9 +212,8 @@ def lifecycle_by_status(fact: DataFrame, statuses: Sequence[str] | None = None)
         F.avg(F.date_diff(F.to_date(end), F.to_date(start))).alias(name)
         for name, (end, start) in LIFECYCLE_STEPS.items()
     ]
-    return (
-        order_grain(fact, statuses).groupBy("order_status").agg(F.count("*").alias("orders"), *steps)
-    )
+    by_status = order_grain(fact, statuses).groupBy("order_status")
+    return by_status.agg(F.count("*").alias("orders"), *steps)
 
 
 def _wanted(df: DataFrame, orders: DataFrame | Sequence[str] | None) -> DataFrame:

@@ -51,15 +51,15 @@ def review_links(orders: DataFrame, reviews: DataFrame) -> DataFrame:
 class Warehouse:
     """Warehouse tables over clean tables; each is built when first asked for.
 
-    Tables that others refer to are staged, so all agree on their keys. The tables may
+    Tables that others refer to are staged, so that all agree on their keys. The tables may
     be clean or already enforced: the joins below drop the same rows as enforcement.
 
     ``closed`` says whether the date spine includes the first purchase day (``both``) or
     starts a day later (``right``). ``text_item_order`` numbers the order fact by the
     text of the item number. ``date_columns`` are further order timestamps that widen
     the spine. ``key_method`` is that of :func:`surrogate_key`, or ``natural``: dimensions
-    are then keyed by their natural key and facts are not numbered, which is all that
-    measures need.
+    are then keyed by their natural key, facts are not numbered and nothing is staged,
+    which is all that a measure needs.
     """
 
     tables: Mapping[str, DataFrame]
@@ -118,7 +118,8 @@ class Warehouse:
     def orders(self) -> DataFrame:
         """Orders of known customers, with the customer's key."""
         customers = self.dim_customers.select("customer_id", "customer_sk")
-        return stage(lookup(self.tables["orders"], "customer_id", customers), "orders")
+        known = lookup(self.tables["orders"], "customer_id", customers)
+        return known if self.key_method == "natural" else stage(known, "orders")
 
     @cached_property
     def reviews(self) -> DataFrame:

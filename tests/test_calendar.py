@@ -61,8 +61,8 @@ def test_day_of_week_starts_on_sunday(spark):
 @pytest.mark.parametrize("hi", ["2018-01-05", "2018-01-01", None])
 def test_key_by_arithmetic_equals_key_by_join(spark, closed, hi):
     b = bounds(spark, "2018-01-01" if hi else None, hi)
-    data = [("2017-12-31",), ("2018-01-01",), ("2018-01-02",), ("2018-01-05",), ("2018-01-06",), (None,)]
-    df = spark.createDataFrame(data, "d string").selectExpr("cast(d as date) d")
+    data = ["2017-12-31", "2018-01-01", "2018-01-02", "2018-01-05", "2018-01-06", None]
+    df = spark.createDataFrame([(d,) for d in data], "d string").selectExpr("cast(d as date) d")
     roles = {"first_sk": "d", "second_sk": "d"}
     computed = calendar.add_date_keys(df, roles, b, closed)
     joined = calendar.join_date_keys(df, roles, calendar.date_spine(b, closed))

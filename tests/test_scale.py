@@ -44,7 +44,8 @@ def skewed(spark, one_item_in, one_review_in):
     clean = cleaning.clean(adapter.raw_tables(spark, FOLDER), FIRST)
     located = clean["customers"].where("customer_state = 'ASIA'")
     orders = clean["orders"].join(located, "customer_id", "left_semi")
-    hot = orders.join(clean["order_items"], "order_id", "left_semi").agg(F.min("order_id")).first()[0]
+    sold = orders.join(clean["order_items"], "order_id", "left_semi")
+    hot = sold.agg(F.min("order_id")).first()[0]
 
     def heat(df, one_in):
         chosen = F.pmod(F.xxhash64(*df.columns), F.lit(one_in)) == 0
@@ -110,7 +111,8 @@ def test_scan_reads_only_what_a_measure_needs(spark):
 def test_date_keys_cost_no_join(spark):
     tune(spark, FOLDER)
     built = Warehouse(cleaning.clean(adapter.raw_tables(spark, FOLDER), FIRST), closed="right")
-    without = built.lifecycle_rows.drop(*[c for c in built.lifecycle_rows.columns if "_date_sk" in c])
+    keys = [c for c in built.lifecycle_rows.columns if c.endswith("_date_sk")]
+    without = built.lifecycle_rows.drop(*keys)
 
     def joins(df):
         return df._jdf.queryExecution().executedPlan().toString().count("Join ")

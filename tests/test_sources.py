@@ -132,6 +132,32 @@ def test_staged_table_is_written_to_the_shared_folder(spark):
     assert all(root in f for f in staged.inputFiles())
 
 
+def test_staged_tables_can_be_released(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "staging_root", lambda _: str(tmp_path / "own"))
+    assert staging.stage(spark.range(3), "numbers").count() == 3
+    staging.release_staged(spark)
+    assert not (tmp_path / "own").exists()
+
+
+def test_staging_refuses_a_machine_local_folder_on_a_cluster(spark, monkeypatch):
+    class Cluster:
+        master, applicationId = "yarn", "app"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Cluster()
+
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.staging_root(Session())
+
+
 def test_tune_sizes_shuffles(spark, settings):
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     settings(**{name.replace(".", "__"): "1"})
