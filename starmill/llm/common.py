@@ -7,6 +7,7 @@ document, and each of them is returned with the same result. A NULL text is empt
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -76,6 +77,15 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files that only cut lineages had used.
+
+    Its cleaner acts when the driver collects garbage, which a mostly idle driver rarely does.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 # --- inside tasks -----------------------------------------------------------------------
 
 
@@ -150,6 +160,15 @@ def span_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix((prefix[ends] - prefix[starts]) * inverse[starts])
 
 
+def strided_hashes(prefix: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all spans of ``size`` bytes; equal to span_hashes at every start."""
+    n = len(prefix) - size
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    _, inverse = _power_tables(len(prefix))
+    return mix((prefix[size:] - prefix[:n]) * inverse[:n])
+
+
 class Words:
     """The words of a chunk: byte starts and ends, row, hash, and each row's word range."""
 

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmill.llm import substring_dedup, suffix_dedup
+from starmill.llm import (
+    decontamination,
+    lm_scoring,
+    minhash_dedup,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+)
 from starmill.llm.common import importable, read
 
 
@@ -14,11 +25,60 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.deduplicate(read(importable(spark), sf_dir, "documents"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(importable(spark), sf_dir, "documents")
+    return quality_classifier.score(docs, read(spark, sf_dir, "labels"))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(read(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.deduplicate(read(importable(spark), sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", *mixing.ADDED)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(importable(spark), sf_dir, "documents")
+    return toxicity.score(docs, read(spark, sf_dir, "labels"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return decontamination.report(docs, read(spark, sf_dir, "benchmark"))
+
+
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.deduplicate(read(importable(spark), sf_dir, "documents"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality_rules.score(docs, read(spark, sf_dir, "labels"))
+
+
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.train_and_score(read(importable(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_array_dedup, op4_substring_dedup)
+    f.__name__: f
+    for f in (
+        op1_suffix_array_dedup,
+        op2_quality_classifier,
+        op3_secret_scan,
+        op4_substring_dedup,
+        op5_mixing,
+        op6_toxicity,
+        op7_decontamination,
+        op8_minhash_dedup,
+        op9_quality_rules,
+        op10_lm_scoring,
+    )
 }
 SQL: dict[str, str] = {}
