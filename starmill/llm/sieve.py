@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 from starmill.llm.common import ODD, mix, signed
 
-SCHEMA = "_deal bigint, _h bigint, _id bigint, _th int, _kind tinyint"
+# ``_h`` is NULL where it equals ``_deal``, so that it takes no room.
+SCHEMA = "_deal bigint, _h bigint, _id bigint, _kind tinyint"
 SINGLE, STAND_IN, PROVEN = 0, 1, 2
 
 
-def offer(keys, rows, ids, hashes, within: bool) -> pa.RecordBatch:
+def offer(keys, rows, ids, within: bool) -> pa.RecordBatch:
     """Pairs of one chunk. ``within``: a key twice in one document counts as repeated."""
     order = np.lexsort((rows, keys))
     k, r = keys[order], rows[order]
@@ -49,12 +50,11 @@ def offer(keys, rows, ids, hashes, within: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(signed(deal)),
-            pa.array(signed(h)),
+            pa.array(signed(h), mask=kind != PROVEN),
             pa.array(ids[row]),
-            pa.array(hashes[row]),
             pa.array(kind),
         ],
-        ["_deal", "_h", "_id", "_th", "_kind"],
+        ["_deal", "_h", "_id", "_kind"],
     )
 
 
@@ -69,8 +69,12 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alike[1:] = deal[1:] == deal[:-1]
         alike[:-1] |= deal[1:] == deal[:-1]
         keep = np.flatnonzero((kind == PROVEN) | ((kind == SINGLE) & alike))
-        out = table.select(["_h", "_id", "_th"]).take(pa.array(keep)).combine_chunks()
-        return out.to_batches()[0] if len(keep) else None
+        if not len(keep):
+            return None
+        h = table["_h"].combine_chunks().fill_null(0).to_numpy()
+        h = np.where(kind == PROVEN, h, deal)
+        ids = table["_id"].to_numpy()
+        return pa.RecordBatch.from_arrays([pa.array(h[keep]), pa.array(ids[keep])], ["_h", "_id"])
 
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -88,11 +92,14 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated(offers: DataFrame) -> DataFrame:
-    """(_h, _id, _th) of the offered pairs whose key was offered by two documents or chunks."""
+    """(_h, _id) of the offered pairs whose key was offered by two documents or chunks."""
     dealt = offers.repartition("_deal").sortWithinPartitions("_deal")
-    return dealt.mapInArrow(_keep, "_h bigint, _id bigint, _th int")
+    return dealt.mapInArrow(_keep, "_h bigint, _id bigint")
 
 
 def by_document(pairs: DataFrame) -> DataFrame:
-    """(_id, _th, _keys): a document's repeated keys; no more than it has windows."""
-    return pairs.groupBy("_id", "_th").agg(F.collect_list("_h").alias("_keys"))
+    """(_id, _keys): a document's repeated keys; no more than it has windows.
+
+    Rows that share an id share its keys: a key says that it occurs twice somewhere.
+    """
+    return pairs.groupBy("_id").agg(F.collect_list("_h").alias("_keys"))

@@ -52,7 +52,7 @@ def _offers(length: int, shorter: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "_text"):
             words = Words(batch.column(batch.schema.get_field_index("_text")))
-            ids, hashes = _columns(batch)
+            ids, _ = _columns(batch)
             grams, _ = words.grams(length)
             fits = _candidates(batch, words, shorter, window)
             # A gram stands for a window if it is the least of one that fits.
@@ -60,19 +60,22 @@ def _offers(length: int, shorter: int, window: int):
             span = window - length
             around = np.concatenate([np.zeros(span, np.uint64), least, np.zeros(span, np.uint64)])
             at = np.flatnonzero((sliding(around, span + 1, np.maximum) == grams) & (grams != 0))
-            yield sieve.offer(grams[at], words.rows[at], ids, hashes, within=True)
+            yield sieve.offer(grams[at], words.rows[at], ids, within=True)
 
     return run
 
 
-FULL = "_deal bigint, _id bigint, _th int, _start int, _end int, _sure boolean"
+# ``_end`` is 0 for a window whose fate is open: its end is known from its start.
+FULL = "_deal bigint, _id bigint, _th int, _start int, _end int"
+# A larger chunk settles more windows before they are shuffled.
+SETTLED = 4 << 20
 
 
 def _full_windows(shorter: int, window: int):
     """Candidate windows at full length; those with an earlier twin in the chunk are sure."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "_text"):
+        for batch in pieces(batches, "_text", SETTLED):
             words = Words(batch.column(batch.schema.get_field_index("_text")))
             ids, hashes = _columns(batch)
             at = np.flatnonzero(_candidates(batch, words, shorter, window))
@@ -98,55 +101,79 @@ def _full_windows(shorter: int, window: int):
                     pa.array(ids[row_all]),
                     pa.array(hashes[row_all]),
                     pa.array(starts.astype(np.int32)),
-                    pa.array(np.concatenate([place[open_] + window, e]).astype(np.int32)),
-                    pa.array(np.concatenate([np.zeros(len(open_), bool), np.ones(len(r), bool)])),
+                    pa.array(np.concatenate([np.zeros(len(open_), np.int64), e]).astype(np.int32)),
                 ],
-                ["_deal", "_id", "_th", "_start", "_end", "_sure"],
+                ["_deal", "_id", "_th", "_start", "_end"],
             )
 
     return run
 
 
-def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _later(window: int):
     """From rows sorted by (deal, id, start): sure spans, and windows after the first of a deal."""
-    deal_, id_, start_ = None, 0, 0
-    for batch in batches:
-        deal, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        if not len(deal):
-            continue
-        start, end = batch.column(3).to_numpy(), batch.column(4).to_numpy()
-        sure = batch.column(5).to_numpy(zero_copy_only=False)
-        new = np.ones(len(deal), bool)
-        new[1:] = deal[1:] != deal[:-1]
-        new[0] = deal_ is None or deal[0] != deal_
-        first = np.flatnonzero(new)
-        group = np.cumsum(new) - 1
-        first_id = np.append(ids[first], id_)[group]
-        first_start = np.append(start[first], start_)[group]
-        gone = sure | (ids != first_id) | (start != first_start)
-        deal_, id_, start_ = deal[-1], first_id[-1], first_start[-1]
-        th = batch.column(2).to_numpy()
-        # Neighbouring windows of a document rarely meet here: deals are hashes.
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x[gone]) for x in (ids, th, start, end)], ["_id", "_th", "_start", "_end"]
-        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        deal_, id_, start_ = None, 0, 0
+        for batch in batches:
+            deal, ids, th, start, end = (batch.column(k).to_numpy() for k in range(5))
+            if not len(deal):
+                continue
+            new = np.ones(len(deal), bool)
+            new[1:] = deal[1:] != deal[:-1]
+            new[0] = deal_ is None or deal[0] != deal_
+            first = np.flatnonzero(new)
+            # Rows before the first new deal go on with the deal of the last batch.
+            group = np.cumsum(new)
+            first_id = np.append(id_, ids[first])[group]
+            first_start = np.append(start_, start[first])[group]
+            gone = (end > 0) | (ids != first_id) | (start != first_start)
+            deal_, id_, start_ = deal[-1], first_id[-1], first_start[-1]
+            end = np.where(end > 0, end, start + window).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x[gone]) for x in (ids, th, start, end)], ["_id", "_th", "_start", "_end"]
+            )
+
+    return run
+
+
+class Spans:
+    """The spans that were collected per id, read by row and text hash."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        lists = [batch.column(batch.schema.get_field_index(c)) for c in ("_ths", "_starts", "_ends")]
+        self.has = lists[0].is_valid().to_numpy(zero_copy_only=False)
+        self.lists = lists
+
+    def of(self, row: int, text_hash: int) -> tuple[np.ndarray, np.ndarray]:
+        if not self.has[row]:
+            return np.zeros(0, np.int32), np.zeros(0, np.int32)
+        th, s, e = (x[row].values.to_numpy() for x in self.lists)
+        mine = th == text_hash
+        return s[mine], e[mine]
+
+
+def collected(spans: DataFrame) -> DataFrame:
+    """(_id, _ths, _starts, _ends) of (_id, _th, _start, _end)."""
+    return spans.groupBy("_id").agg(
+        F.collect_list("_th").alias("_ths"),
+        F.collect_list("_start").alias("_starts"),
+        F.collect_list("_end").alias("_ends"),
+    )
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "_text"):
         words = Words(batch.column(batch.schema.get_field_index("_text")))
-        ids, _ = _columns(batch)
+        ids, hashes = _columns(batch)
         n = batch.num_rows
         sizes = np.diff(words.ranges)
         removed, digests = np.zeros(n, np.int64), []
-        starts = batch.column(batch.schema.get_field_index("_starts"))
-        ends = batch.column(batch.schema.get_field_index("_ends"))
+        spans = Spans(batch)
         for row in range(n):
             a, b = words.ranges[row], words.ranges[row + 1]
             keep = np.ones(b - a, bool)
-            if starts[row].is_valid:
-                s = starts[row].values.to_numpy()
-                e = ends[row].values.to_numpy()
+            s, e = spans.of(row, hashes[row])
+            if len(s):
                 change = np.zeros(b - a + 1, np.int64)
                 np.add.at(change, s, 1)
                 np.add.at(change, e, -1)
@@ -164,29 +191,27 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def removed_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(_id, _th, _starts, _ends): word spans to remove, for documents that have any."""
+    """(_id, _ths, _starts, _ends): word spans to remove, for documents that have any."""
     base = keyed(docs)
     shorter, table = 0, base
     length = max(window // 4, 1)
     while length < window:
         pairs = sieve.repeated(table.mapInArrow(_offers(length, shorter, window), sieve.SCHEMA))
         # Documents without a repeated key drop out; the shuffle of the texts is reused.
-        table = base.join(sieve.by_document(pairs), ["_id", "_th"])
+        table = base.join(sieve.by_document(pairs), "_id")
         shorter, length = length, length * 2
     full = table.mapInArrow(_full_windows(shorter, window), FULL)
     spans = (
         full.repartition("_deal")
         .sortWithinPartitions("_deal", "_id", "_start")
-        .mapInArrow(_later, "_id bigint, _th int, _start int, _end int")
-    )
-    return spans.groupBy("_id", "_th").agg(
-        F.collect_list("_start").alias("_starts"), F.collect_list("_end").alias("_ends")
+        .mapInArrow(_later(window), "_id bigint, _th int, _start int, _end int")
     )
+    return collected(spans)
 
 
 def deduplicate(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256."""
-    joined = keyed(docs).join(removed_spans(docs, window), ["_id", "_th"], "left")
+    joined = keyed(docs).join(removed_spans(docs, window), "_id", "left")
     out = joined.mapInArrow(
         _apply, "_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     )
