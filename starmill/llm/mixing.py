@@ -99,7 +99,7 @@ def mix(
     # A source's name, never NULL, so that plain equality joins it.
     name = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("_source")
     kept = [c for c in docs.columns if c not in ADDED]
-    rows = docs.select(*kept, name, _order_key().alias("_key"))
+    rows = docs.select(F.struct(*kept).alias("_row"), name, _order_key().alias("_key"))
     counts = rows.groupBy("_source").agg(F.count("*").alias("n"))
     if counts.count() > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -122,7 +122,7 @@ def mix(
     a, j = F.col("a"), F.col("_block")
     slot = F.floor(j / a) * PERIOD + F.element_at("slots", (j % a + 1).cast("int"))
     return ranked.select(
-        *kept,
+        "_row.*",
         j.alias("block"),
         F.floor(j * PERIOD / a).alias("release"),
         F.ceil((j + 1) * PERIOD / a).alias("deadline"),

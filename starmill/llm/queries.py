@@ -39,8 +39,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(read(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "source", *mixing.ADDED)
+    return mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
