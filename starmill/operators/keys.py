@@ -19,10 +19,12 @@ def surrogate_key(
     keys: Sequence[str],
     keep: Sequence[str] | None = None,
     method: str = "ranged",
+    folder: str | None = None,
 ) -> DataFrame:
     """Add ``name``: the row's position, from 1, in ascending order of ``keys``.
 
-    ``keep`` names the columns of the result besides ``name`` (default all).
+    ``keep`` names the columns of the result besides ``name`` (default all); ``folder`` is
+    where the placement is staged (default: the application's staging folder).
 
     Equals ``row_number`` over the whole table ordered by ``keys`` (NULLs first), as
     long as ``keys`` tell the rows apart.
@@ -47,7 +49,7 @@ def surrogate_key(
         .sortWithinPartitions(*order)
         .select(*kept, F.monotonically_increasing_id().alias("_place"))
     )
-    pinned = stage(placed, name).withColumn("_part", F.shiftright("_place", ROW_BITS))
+    pinned = stage(placed, name, folder).withColumn("_part", F.shiftright("_place", ROW_BITS))
     # One row per partition, whatever the table's size: safe to order and to broadcast.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (

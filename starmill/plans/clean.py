@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,8 +14,18 @@ from starmill.operators.dedup import keep_one, require
 from starmill.operators.matching import lookup
 
 
-def clean_customers(customers: DataFrame, prefer: Sequence[str] = ()) -> DataFrame:
-    return keep_one(require(customers, "customer_id"), ["customer_id"], prefer)
+Rule = Callable[..., DataFrame]
+
+
+def as_is(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) -> DataFrame:
+    """In place of :func:`keep_one` for a table whose key is declared unique already."""
+    return df
+
+
+def clean_customers(
+    customers: DataFrame, prefer: Sequence[str] = (), one: Rule = keep_one
+) -> DataFrame:
+    return one(require(customers, "customer_id"), ["customer_id"], prefer)
 
 
 def type_orders(orders: DataFrame) -> DataFrame:
@@ -28,9 +39,11 @@ def type_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def clean_orders(orders: DataFrame, prefer: Sequence[str] = ()) -> DataFrame:
+def clean_orders(
+    orders: DataFrame, prefer: Sequence[str] = (), one: Rule = keep_one
+) -> DataFrame:
     """Orders are reduced to one row per order_id: a repeat would multiply all its facts."""
-    return keep_one(type_orders(require(orders, "order_id", "customer_id")), ["order_id"], prefer)
+    return one(type_orders(require(orders, "order_id", "customer_id")), ["order_id"], prefer)
 
 
 def type_order_items(items: DataFrame) -> DataFrame:
@@ -42,8 +55,10 @@ def clean_order_items(items: DataFrame) -> DataFrame:
     return type_order_items(require(items, "order_id", "order_item_id"))
 
 
-def clean_categories(categories: DataFrame, prefer: Sequence[str] = ()) -> DataFrame:
-    return keep_one(categories, ["product_category_name"], prefer)
+def clean_categories(
+    categories: DataFrame, prefer: Sequence[str] = (), one: Rule = keep_one
+) -> DataFrame:
+    return one(categories, ["product_category_name"], prefer)
 
 
 def type_products(products: DataFrame) -> DataFrame:
@@ -65,15 +80,20 @@ def translate_products(products: DataFrame, categories: DataFrame) -> DataFrame:
 
 
 def clean_products(
-    products: DataFrame, categories: DataFrame, prefer: Sequence[str] = ()
+    products: DataFrame,
+    categories: DataFrame,
+    prefer: Sequence[str] = (),
+    one: Rule = keep_one,
 ) -> DataFrame:
     """``categories`` is the clean table."""
-    unique = keep_one(products, ["product_id"], prefer)
+    unique = one(products, ["product_id"], prefer)
     return translate_products(type_products(unique), categories)
 
 
-def clean_sellers(sellers: DataFrame, prefer: Sequence[str] = ()) -> DataFrame:
-    return keep_one(sellers, ["seller_id"], prefer)
+def clean_sellers(
+    sellers: DataFrame, prefer: Sequence[str] = (), one: Rule = keep_one
+) -> DataFrame:
+    return one(sellers, ["seller_id"], prefer)
 
 
 def roll_up_geolocation(geolocation: DataFrame) -> DataFrame:
@@ -102,15 +122,19 @@ def roll_up_geolocation(geolocation: DataFrame) -> DataFrame:
     )
 
 
-def clean_payments(payments: DataFrame, prefer: Sequence[str] = ()) -> DataFrame:
+def clean_payments(
+    payments: DataFrame, prefer: Sequence[str] = (), one: Rule = keep_one
+) -> DataFrame:
     """De-duplicates before dropping NULL orders. The sequential number stays text here."""
-    unique = keep_one(payments, ["order_id", "payment_sequential"], prefer)
+    unique = one(payments, ["order_id", "payment_sequential"], prefer)
     return typed(require(unique, "order_id"), payment_installments="int", payment_value="double")
 
 
-def clean_reviews(reviews: DataFrame, prefer: Sequence[str] = ()) -> DataFrame:
+def clean_reviews(
+    reviews: DataFrame, prefer: Sequence[str] = (), one: Rule = keep_one
+) -> DataFrame:
     """De-duplicates before dropping NULL orders, preferring a row that has an order."""
-    unique = keep_one(reviews, ["review_id"], [F.col("order_id").isNull(), *prefer])
+    unique = one(reviews, ["review_id"], [F.col("order_id").isNull(), *prefer])
     return typed(
         require(unique, "order_id"),
         review_score="int",
@@ -120,23 +144,38 @@ def clean_reviews(reviews: DataFrame, prefer: Sequence[str] = ()) -> DataFrame:
 
 
 def clean(
-    raw: Mapping[str, DataFrame], prefer: Mapping[str, Sequence[str]] | None = None
+    raw: Mapping[str, DataFrame],
+    prefer: Mapping[str, Sequence[str]] | None = None,
+    unique: Collection[str] = (),
+    total: Collection[str] = (),
 ) -> Layer:
-    """Clean all nine tables. ``prefer`` gives survivor order columns per table."""
+    """Clean all nine tables. ``prefer`` gives survivor order columns per table.
+
+    ``unique`` names tables whose key repeats nowhere, which ``check_unique_keys`` can
+    verify; they are not grouped. ``total`` names tables whose ``prefer`` tells all rows of
+    a key apart; of these, only columns that are read are carried through the grouping.
+    """
     first = {name: tuple((prefer or {}).get(name, ())) for name in raw}
+    one = {
+        name: as_is if name in unique else partial(keep_one, total=name in total) for name in raw
+    }
+
+    def rules(name: str) -> tuple[Sequence[str], Rule]:
+        return first[name], one[name]
+
     tables = Layer(
         {
-            "customers": lambda: clean_customers(raw["customers"], first["customers"]),
-            "orders": lambda: clean_orders(raw["orders"], first["orders"]),
+            "customers": lambda: clean_customers(raw["customers"], *rules("customers")),
+            "orders": lambda: clean_orders(raw["orders"], *rules("orders")),
             "order_items": lambda: clean_order_items(raw["order_items"]),
-            "categories": lambda: clean_categories(raw["categories"], first["categories"]),
+            "categories": lambda: clean_categories(raw["categories"], *rules("categories")),
             "products": lambda: clean_products(
-                raw["products"], tables["categories"], first["products"]
+                raw["products"], tables["categories"], *rules("products")
             ),
-            "sellers": lambda: clean_sellers(raw["sellers"], first["sellers"]),
+            "sellers": lambda: clean_sellers(raw["sellers"], *rules("sellers")),
             "geolocation": lambda: roll_up_geolocation(raw["geolocation"]),
-            "payments": lambda: clean_payments(raw["payments"], first["payments"]),
-            "reviews": lambda: clean_reviews(raw["reviews"], first["reviews"]),
+            "payments": lambda: clean_payments(raw["payments"], *rules("payments")),
+            "reviews": lambda: clean_reviews(raw["reviews"], *rules("reviews")),
         }
     )
     return tables

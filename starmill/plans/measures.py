@@ -1,7 +1,8 @@
 """Dashboard measures over the warehouse tables. Each states the grain it sums at.
 
 The order fact holds an item once per review of its order, so sums over it start from
-:func:`item_grain`. All measures take an optional tuple of order statuses to keep.
+:func:`item_grain`. ``Warehouse.sales_rows`` is at item grain already, and is recognised by
+having no review key. All measures take an optional tuple of order statuses to keep.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from starmill.operators.matching import keep_matching, lookup
 from starmill.operators.quantiles import exact_quantiles
+from starmill.staging import stage
 
 
 def with_status(fact: DataFrame, statuses: Sequence[str] | None) -> DataFrame:
@@ -20,13 +22,17 @@ def with_status(fact: DataFrame, statuses: Sequence[str] | None) -> DataFrame:
 
 
 def item_grain(fact: DataFrame, statuses: Sequence[str] | None = None) -> DataFrame:
-    """The order fact with one row per (order_id, order_item_id)."""
-    carried = ["customer_sk", "product_sk", "order_purchase_timestamp", "total_price"]
-    return (
-        with_status(fact, statuses)
-        .groupBy("order_id", "order_item_id")
-        .agg(*[F.max(c).alias(c) for c in carried])
-    )
+    """The order fact with every item once, also items whose number repeats or is unreadable.
+
+    Every item of an order meets every review of it, so the rows that carry the order's
+    first review (or none, where it has none) are its items.
+    """
+    items = with_status(fact, statuses)
+    if "review_sk" not in items.columns:
+        return items
+    first = items.groupBy("order_id").agg(F.min("review_sk").alias("_first"))
+    kept = lookup(items, "order_id", first).where(F.col("review_sk").eqNullSafe(F.col("_first")))
+    return kept.drop("_first")
 
 
 def order_grain(fact: DataFrame, statuses: Sequence[str] | None = None) -> DataFrame:
@@ -73,12 +79,12 @@ def on_time_delivery(fact: DataFrame, statuses: Sequence[str] | None = None) ->
 
 def payment_mix(payments: DataFrame) -> DataFrame:
     """Per payment type: payments, value, and percentage of all value."""
-    total = payments.agg(F.sum("payment_value")).scalar()
-    return (
-        payments.groupBy("payment_type")
-        .agg(F.count("*").alias("payments"), F.sum("payment_value").alias("value"))
-        .withColumn("value_pct", _percent(F.col("value"), total))
+    by_type = payments.groupBy("payment_type").agg(
+        F.count("*").alias("payments"), F.sum("payment_value").alias("value")
     )
+    # One row per payment type, so one task is enough.
+    total = F.sum("value").over(Window.partitionBy())
+    return by_type.withColumn("value_pct", _percent(F.col("value"), total))
 
 
 def payments_month_over_month(payments: DataFrame) -> DataFrame:
@@ -125,6 +131,8 @@ def customer_segments(
     """
     spend = customer_spend(payments, customers)
     if cut_points is None:
+        # Both the ranking and the result read it.
+        spend = stage(spend, "spend")
         cuts = exact_quantiles(
             spend, "spend", {"lower": (1, 3), "upper": (2, 3)}, "customer_unique_id"
         )

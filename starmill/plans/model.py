@@ -22,7 +22,7 @@ from starmill.operators.dedup import require
 from starmill.operators.keys import surrogate_key
 from starmill.operators.matching import keep_matching, lookup
 from starmill.plans.integrity import GEO_ZIP
-from starmill.staging import stage
+from starmill.staging import new_folder, release_staged, stage
 
 # Key column of the order fact -> the day it refers to.
 LIFECYCLE_DATE_KEYS = {
@@ -68,10 +68,19 @@ class Warehouse:
     date_columns: Sequence[str] = ()
     key_method: str = "ranged"
 
+    @cached_property
+    def folder(self) -> str:
+        """Where this warehouse stages tables; no other one writes there."""
+        return new_folder(self.tables["orders"].sparkSession)
+
+    def release(self) -> None:
+        """Delete what this warehouse has staged. Its tables become unreadable."""
+        release_staged(self.tables["orders"].sparkSession, self.folder)
+
     def _dimension_key(self, df: DataFrame, name: str, natural: str) -> DataFrame:
         if self.key_method == "natural":
             return df.select(F.col(natural).alias(name), "*")
-        return surrogate_key(df, name, [natural], method=self.key_method)
+        return surrogate_key(df, name, [natural], method=self.key_method, folder=self.folder)
 
     def _numbered(self, df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
         """``df`` with the key of a fact table, reduced to that table's columns."""
@@ -79,7 +88,7 @@ class Warehouse:
         if self.key_method == "natural":
             raise ValueError(f"{table} needs numbered keys")
         keep = [c for c in wanted if c in df.columns]
-        return surrogate_key(df, name, keys, keep, self.key_method)
+        return surrogate_key(df, name, keys, keep, self.key_method, self.folder)
 
     def _entity(self, df: DataFrame, table: str, **renamed: str) -> DataFrame:
         sk, natural = schemas.PRIMARY_KEY[table], schemas.UNIQUE_KEY[table]
@@ -119,7 +128,7 @@ class Warehouse:
         """Orders of known customers, with the customer's key."""
         customers = self.dim_customers.select("customer_id", "customer_sk")
         known = lookup(self.tables["orders"], "customer_id", customers)
-        return known if self.key_method == "natural" else stage(known, "orders")
+        return known if self.key_method == "natural" else stage(known, "orders", self.folder)
 
     @cached_property
     def reviews(self) -> DataFrame:
@@ -148,7 +157,7 @@ class Warehouse:
         items = lookup(self.tables["order_items"], "product_id", products)
         joined = lookup(lookup(items, "seller_id", sellers), "order_id", *tables)
         return joined.withColumn("item_text", F.col("order_item_id")).transform(
-            typed, order_item_id="int"
+            typed, order_item_id="bigint"
         )
 
     @cached_property
@@ -195,7 +204,7 @@ class Warehouse:
         )
         joined = lookup(self.tables["payments"], "order_id", orders)
         return joined.withColumn("sequential_text", F.col("payment_sequential")).transform(
-            typed, payment_sequential="int"
+            typed, payment_sequential="bigint"
         )
 
     def _payments(self, payments: DataFrame) -> DataFrame:

@@ -19,18 +19,23 @@ from starmill.operators.matching import keep_matching
 from starmill.plans import clean as cleaning
 from starmill.plans import integrity, measures
 from starmill.plans.model import LIFECYCLE_DATE_KEYS, Warehouse
-from starmill.session import tune
 from starmill.sources import adapter
 
-# Survivors of de-duplication: the row that arrived first.
+# Survivors of de-duplication: the row that arrived first, which no other shares.
 ARRIVAL = {"payments": ["arrival"], "reviews": ["arrival"]}
+# Keys that repeat nowhere in the test tables, as check_unique_keys and dedup_orders show.
+UNIQUE = ("customers", "orders", "categories", "products", "sellers")
+
+
+def _clean(raw: Layer) -> Layer:
+    return cleaning.clean(raw, ARRIVAL, unique=UNIQUE, total=tuple(ARRIVAL))
 
 
 class Inputs:
     """All layers over one folder of test tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = tune(spark, folder)
+        self.spark = spark
         self.folder = folder
 
     @cached_property
@@ -43,15 +48,24 @@ class Inputs:
 
     @cached_property
     def clean(self) -> Layer:
-        return cleaning.clean(self.raw, ARRIVAL)
+        return _clean(self.raw)
 
     @cached_property
     def enforced(self) -> Layer:
         return integrity.enforce_integrity(self.clean)
 
     @cached_property
-    def with_enforced_sellers(self) -> Layer:
-        return self.clean.replacing({"sellers": lambda: self.enforced["sellers"]})
+    def gaps(self) -> Layer:
+        """Clean tables with unknown zips and categories, for the referential checks."""
+        return _clean(adapter.with_gaps(self.raw))
+
+    @cached_property
+    def gaps_enforced(self) -> Layer:
+        return integrity.enforce_integrity(self.gaps)
+
+    @cached_property
+    def gaps_with_enforced_sellers(self) -> Layer:
+        return self.gaps.replacing({"sellers": lambda: self.gaps_enforced["sellers"]})
 
     @cached_property
     def warehouse(self) -> Warehouse:
@@ -122,6 +136,15 @@ def dedup_payments(x: Inputs) -> DataFrame:
     return _without_arrival(x.clean["payments"])
 
 
+def dedup_orders(x: Inputs) -> DataFrame:
+    """Repeated orders: the smallest row survives, here the one of the earlier status."""
+    return cleaning.clean_orders(adapter.repeated_orders(x.raw["orders"]), ["order_status"])
+
+
+def unreadable_numbers(x: Inputs) -> DataFrame:
+    return cleaning.type_order_items(adapter.unreadable_items(x.raw["order_items"]))
+
+
 def dedup_then_dropna(x: Inputs) -> DataFrame:
     """The first arrival survives even without an order, and is dropped after that."""
     unique = keep_one(adapter.reviews(x.events, _failed()), ["review_id"], ["arrival"])
@@ -146,63 +169,63 @@ def products_translated(x: Inputs) -> DataFrame:
 
 
 def orphan_sellers(x: Inputs) -> DataFrame:
-    return integrity.orphan_sellers(x.with_enforced_sellers)
+    return integrity.orphan_sellers(x.gaps_with_enforced_sellers)
 
 
 def orphan_products(x: Inputs) -> DataFrame:
-    return integrity.orphan_products(x.clean)
+    return integrity.orphan_products(x.gaps)
 
 
 def orphan_customer_zips(x: Inputs) -> DataFrame:
-    return integrity.orphan_customer_zips(x.clean)
+    return integrity.orphan_customer_zips(x.gaps)
 
 
 def orders_without_items(x: Inputs) -> DataFrame:
-    return integrity.orders_without_items(x.clean)
+    return integrity.orders_without_items(x.gaps)
 
 
 def integrity_findings(x: Inputs) -> DataFrame:
-    return integrity.integrity_findings(x.with_enforced_sellers)
+    return integrity.integrity_findings(x.gaps_with_enforced_sellers)
 
 
 def integrity_report(x: Inputs) -> DataFrame:
-    return integrity.integrity_report(x.with_enforced_sellers)
+    return integrity.integrity_report(x.gaps_with_enforced_sellers)
 
 
 def items_with_valid_product(x: Inputs) -> DataFrame:
-    return keep_matching(x.clean["order_items"], x.clean["products"], "product_id")
+    return keep_matching(x.gaps["order_items"], x.gaps["products"], "product_id")
 
 
 def items_with_valid_seller(x: Inputs) -> DataFrame:
-    return keep_matching(items_with_valid_product(x), x.enforced["sellers"], "seller_id")
+    return keep_matching(items_with_valid_product(x), x.gaps_enforced["sellers"], "seller_id")
 
 
 def items_with_valid_order(x: Inputs) -> DataFrame:
-    return x.enforced["order_items"]
+    return x.gaps_enforced["order_items"]
 
 
 def sellers_with_geo(x: Inputs) -> DataFrame:
-    return _rounded(x.enforced["sellers"], 6, "avg_latitude", "avg_longitude")
+    return _rounded(x.gaps_enforced["sellers"], 6, "avg_latitude", "avg_longitude")
 
 
 def customers_with_geo(x: Inputs) -> DataFrame:
-    return _rounded(x.enforced["customers"], 6, "avg_latitude", "avg_longitude")
+    return _rounded(x.gaps_enforced["customers"], 6, "avg_latitude", "avg_longitude")
 
 
 def orders_with_valid_customer(x: Inputs) -> DataFrame:
-    return x.enforced["orders"]
+    return x.gaps_enforced["orders"]
 
 
 def reviews_with_valid_order(x: Inputs) -> DataFrame:
-    return _without_arrival(x.enforced["reviews"])
+    return _without_arrival(x.gaps_enforced["reviews"])
 
 
 def payments_with_valid_order(x: Inputs) -> DataFrame:
-    return _without_arrival(x.enforced["payments"])
+    return _without_arrival(x.gaps_enforced["payments"])
 
 
 def cascade_row_counts(x: Inputs) -> DataFrame:
-    return integrity.row_counts(x.enforced)
+    return integrity.row_counts(x.gaps_enforced)
 
 
 # --- calendar -----------------------------------------------------------------------
@@ -260,6 +283,11 @@ def total_sales(x: Inputs) -> DataFrame:
     return _rounded(measures.total_sales(x.unnumbered.sales_rows), 2, "total_sales")
 
 
+def total_sales_from_fact(x: Inputs) -> DataFrame:
+    fact = x.warehouse.table("fact_orderlifecycle")
+    return _rounded(measures.total_sales(fact), 2, "total_sales")
+
+
 def order_count(x: Inputs) -> DataFrame:
     return measures.order_count(x.unnumbered.sales_rows)
 
@@ -290,7 +318,7 @@ def segment_summary(x: Inputs) -> DataFrame:
 
 
 def review_nps(x: Inputs) -> DataFrame:
-    return _rounded(measures.review_nps(x.enforced["reviews"]), 6, "nps")
+    return _rounded(measures.review_nps(x.unnumbered.dim_reviews), 6, "nps")
 
 
 def sales_by_month(x: Inputs) -> DataFrame:
@@ -343,6 +371,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         item_total_price,
         dedup_reviews,
         dedup_payments,
+        dedup_orders,
+        unreadable_numbers,
         dedup_then_dropna,
         dedup_prefers_order,
         geolocation_rollup,
@@ -372,6 +402,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         check_unique_keys,
         check_foreign_keys,
         total_sales,
+        total_sales_from_fact,
         order_count,
         on_time_delivery,
         payment_mix,

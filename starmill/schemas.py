@@ -48,6 +48,7 @@ TABLES = {
     ),
 }
 
+# Declared keys of these tables.
 PRIMARY_KEY = {
     "dim_customers": "customer_sk",
     "dim_sellers": "seller_sk",
@@ -110,10 +111,10 @@ def columns(table: str) -> list[str]:
 
 
 def _fit(column: Column, actual: T.DataType, declared: T.DataType) -> Column:
-    # A key beyond the declared INT must stop the load, not wrap around or turn NULL.
+    # A number beyond the declared INT must stop the load, not wrap around or turn NULL.
     if isinstance(actual, T.LongType) and isinstance(declared, T.IntegerType):
-        too_big = F.raise_error(F.lit("key exceeds INT; load with wide_keys=True"))
-        return F.when(column > INT_MAX, too_big).otherwise(column).cast(declared)
+        too_big = F.raise_error(F.lit("number exceeds INT; load with wide_keys=True if it is a key"))
+        return F.when(F.abs(column) > INT_MAX, too_big).otherwise(column).cast(declared)
     return column.try_cast(declared)
 
 

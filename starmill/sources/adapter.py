@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.layer import Layer
 
-# An item number must fit an INT, so an order of 2^31 items has at most 2^25 per slot.
-ITEM_SLOTS = 64
-
 
 def _text(column: str) -> Column:
     return F.col(column).cast("string")
@@ -39,7 +36,7 @@ def raw_tables(spark: SparkSession, folder: str) -> Layer:
             "geolocation": lambda: _geolocation(located("customer", "c_nationkey")),
             "categories": lambda: _categories(table("part")),
             "products": lambda: _products(table("part")),
-            "orders": lambda: _orders(table("orders"), table("lineitem")),
+            "orders": lambda: _orders(table("orders")),
             "order_items": lambda: _order_items(table("lineitem")),
             "payments": lambda: payments(table("events")),
             "reviews": lambda: reviews(table("events")),
@@ -47,10 +44,41 @@ def raw_tables(spark: SparkSession, folder: str) -> Layer:
     )
 
 
+def with_gaps(raw: Layer) -> Layer:
+    """The raw tables with five unknown zip prefixes and one untranslated category.
+
+    Referential checks and enforcement find something in these tables only.
+    """
+    zip_code = F.col("geolocation_zip_code_prefix").cast("int")
+    return raw.replacing(
+        {
+            "geolocation": lambda: raw["geolocation"].where(zip_code < 20),
+            "categories": lambda: raw["categories"].where("product_category_name <> 'STANDARD'"),
+        }
+    )
+
+
+def repeated_orders(orders: DataFrame) -> DataFrame:
+    """Every order whose number divides by 3 a second time, with a later status."""
+    again = orders.where("cast(order_id as bigint) % 3 = 0").withColumn("order_status", F.lit("Z"))
+    return orders.unionByName(again)
+
+
+def unreadable_items(items: DataFrame) -> DataFrame:
+    """Item prices as text that is a number, a word, or empty."""
+    price = (
+        F.when(F.col("order_item_id") == "3", "n/a")
+        .when(F.col("order_item_id") == "5", "")
+        .otherwise(F.col("price").cast("string"))
+    )
+    return items.withColumn("price", price)
+
+
 def _customers(located: DataFrame) -> DataFrame:
     return located.select(
         _text("c_custkey").alias("customer_id"),
-        F.col("c_name").alias("customer_unique_id"),
+        # Two customer keys per person.
+        F.expr("concat('person-', c_custkey div 2)").alias("customer_unique_id"),
         F.col("n_name").alias("customer_city"),
         F.col("r_name").alias("customer_state"),
         _text("c_nationkey").alias("customer_zip_code_prefix"),
@@ -67,8 +95,7 @@ def _sellers(located: DataFrame) -> DataFrame:
 
 
 def _geolocation(located: DataFrame) -> DataFrame:
-    # Five zip prefixes are left unknown, so that the orphan checks have findings.
-    return located.where("c_nationkey < 20").select(
+    return located.select(
         _text("c_nationkey").alias("geolocation_zip_code_prefix"),
         F.col("n_name").alias("geolocation_city"),
         F.col("r_name").alias("geolocation_state"),
@@ -78,11 +105,9 @@ def _geolocation(located: DataFrame) -> DataFrame:
 
 
 def _categories(part: DataFrame) -> DataFrame:
-    # One category stays untranslated, for the same reason.
     names = part.select(F.col("p_type").alias("product_category_name")).distinct()
-    return names.where("product_category_name <> 'STANDARD'").withColumn(
-        "product_category_name_english", F.lower("product_category_name")
-    )
+    english = F.lower("product_category_name")
+    return names.withColumn("product_category_name_english", english)
 
 
 def _products(part: DataFrame) -> DataFrame:
@@ -100,47 +125,36 @@ def _products(part: DataFrame) -> DataFrame:
     )
 
 
-def _orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    shipped = lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.min(_moment("l_shipdate")).alias("first_shipped"),
-        F.max(_moment("l_shipdate")).alias("last_shipped"),
-    )
+def _orders(orders: DataFrame) -> DataFrame:
     placed = _moment("o_orderdate")
-    return orders.join(shipped, "o_orderkey", "left").select(
+    # Handed over after 2 to 6 days, delivered 1 to 40 days later; every 13th is under way.
+    handed_over = F.expr("cast(2 + o_orderkey % 5 as int)")
+    travelled = F.expr("cast(1 + (o_orderkey * 7 + o_custkey) % 40 as int)")
+    carrier = placed + F.make_dt_interval(days=handed_over)
+    delivered = placed + F.make_dt_interval(days=handed_over + travelled)
+    return orders.select(
         _text("o_orderkey").alias("order_id"),
         _text("o_custkey").alias("customer_id"),
         F.col("o_orderstatus").alias("order_status"),
         placed.alias("order_purchase_timestamp"),
         (placed + F.expr("INTERVAL 1 DAY")).alias("order_approved_at"),
-        F.col("first_shipped").alias("order_delivered_carrier_date"),
-        F.col("last_shipped").alias("order_delivered_customer_date"),
+        carrier.alias("order_delivered_carrier_date"),
+        F.when(F.expr("o_orderkey % 13 <> 0"), delivered).alias("order_delivered_customer_date"),
         (placed + F.expr("INTERVAL 30 DAY")).alias("order_estimated_delivery_date"),
     )
 
 
 def _order_items(lineitem: DataFrame) -> DataFrame:
-    # Items are numbered within (order, slot) and the slot is part of the number: unique
-    # in the order, and a very large order is spread over as many groups as it has slots.
-    slot = F.expr(f"pmod(l_partkey * 31 + l_suppkey * 7 + l_linenumber, {ITEM_SLOTS})")
-    # Never NULL, which lets Spark leave the numbering out where nobody reads it.
-    slot = F.coalesce(slot, F.lit(0))
-    lines = lineitem.select(
+    """Line numbers repeat within an order of the test tables, and so do item numbers."""
+    return lineitem.select(
         _text("l_orderkey").alias("order_id"),
         _text("l_partkey").alias("product_id"),
         _text("l_suppkey").alias("seller_id"),
         _moment("l_shipdate").alias("shipping_limit_date"),
         F.col("l_extendedprice").alias("price"),
         F.col("l_quantity").cast("double").alias("freight_value"),
-        F.col("l_linenumber").alias("line"),
-        slot.alias("slot"),
-    )
-    turn = F.row_number().over(
-        Window.partitionBy("order_id", "slot").orderBy(
-            "line", "price", "shipping_limit_date", "product_id", "seller_id", "freight_value"
-        )
+        _text("l_linenumber").alias("order_item_id"),
     )
-    number = F.col("slot") + 1 + ITEM_SLOTS * (turn - 1)
-    return lines.withColumn("order_item_id", number.cast("string")).drop("line", "slot")
 
 
 def _prop(name: str) -> Column:
@@ -167,8 +181,8 @@ def reviews(events: DataFrame, without_order: Column | None = None) -> DataFrame
         F.expr("cast(event_id div 2 as string)").alias("review_id"),
         _unless(without_order, order).alias("order_id"),
         (1 + _prop("k") % 5).alias("review_score"),
-        F.lit(None).cast("string").alias("review_comment_title"),
-        F.lit(None).cast("string").alias("review_comment_message"),
+        F.concat(F.lit("rated "), F.get_json_object("props", "$.k")).alias("review_comment_title"),
+        F.col("props").alias("review_comment_message"),
         F.col("ts").cast("date").alias("review_creation_date"),
         _moment("ts").alias("review_answer_timestamp"),
         F.col("event_id").alias("arrival"),

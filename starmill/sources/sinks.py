@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame
 
 from starmill import schemas
 from starmill.plans.model import Warehouse
-from starmill.staging import release_staged
 
 # A database takes far fewer writers than a cluster has tasks.
-CONNECTIONS = "64"
+CONNECTIONS = 64
 BATCH_ROWS = "10000"
 
 
@@ -25,43 +24,60 @@ def write_jdbc(
     table: str,
     mode: str = "append",
     properties: Mapping[str, str] | None = None,
+    connections: int = CONNECTIONS,
 ) -> None:
     """Write to a database table; ``overwrite`` empties the table and keeps its keys.
 
+    Emptying a dimension empties the facts that refer to it in the same command, which is
+    what a database with declared foreign keys asks for. Load dimensions first then.
+
     Each task commits for itself, so a task that is run again after its commit was lost
     sends its rows again: the target's primary key is what rejects them, and a load with
-    ``overwrite`` is how to start over. ``properties`` may hold any option of Spark's
-    writer besides the login, such as ``numPartitions``, the number of connections.
+    ``overwrite`` is how to start over. At most ``connections`` tasks write at a time.
+    ``properties`` may hold any option of Spark's writer besides the login.
     """
-    extra = {"numPartitions": CONNECTIONS, "batchsize": BATCH_ROWS, **(properties or {})}
+    extra = {
+        "numPartitions": str(connections), "batchsize": BATCH_ROWS, **(properties or {})
+    }
     if mode == "overwrite":
         extra.setdefault("truncate", "true")
+        if table in schemas.FOREIGN_KEY.values():
+            extra.setdefault("cascadeTruncate", "true")
     df.write.jdbc(url=url, table=table, mode=mode, properties=extra)
 
 
+def needs_wide_keys(warehouse: Warehouse) -> bool:
+    """Does any table have more rows than the declared INT keys can number?"""
+    return any(warehouse.table(name).count() > schemas.INT_MAX for name in schemas.TABLES)
+
+
 def write_warehouse(
     warehouse: Warehouse,
     target: str,
     format: str = "parquet",
     mode: str = "append",
-    wide_keys: bool = False,
+    wide_keys: bool | None = None,
     properties: Mapping[str, str] | None = None,
     release: bool = False,
+    connections: int = CONNECTIONS,
 ) -> None:
     """Load all tables in declared order, so that every parent precedes its children.
 
-    ``wide_keys`` keeps surrogate keys as bigint instead of the declared INT, for tables
-    beyond 2^31 rows. ``release`` deletes the staged tables afterwards.
+    ``wide_keys`` keeps surrogate keys as bigint instead of the declared INT. If not given,
+    it follows from the tables' row counts, which are taken before anything is written.
+    ``release`` deletes the staged tables afterwards, also when the load fails.
     """
-    spark = None
-    for name in schemas.TABLES:
-        df = schemas.conform(warehouse.table(name), name, wide_keys)
-        spark = df.sparkSession
-        if format == "parquet":
-            write_parquet(df, target, name, mode)
-        elif format == "jdbc":
-            write_jdbc(df, target, name, mode, properties)
-        else:
-            raise ValueError(f"unknown format {format!r}")
-    if release:
-        release_staged(spark)
+    if format not in ("parquet", "jdbc"):
+        raise ValueError(f"unknown format {format!r}")
+    try:
+        if wide_keys is None:
+            wide_keys = needs_wide_keys(warehouse)
+        for name in schemas.TABLES:
+            df = schemas.conform(warehouse.table(name), name, wide_keys)
+            if format == "parquet":
+                write_parquet(df, target, name, mode)
+            else:
+                write_jdbc(df, target, name, mode, properties, connections)
+    finally:
+        if release:
+            warehouse.release()

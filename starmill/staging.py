@@ -24,15 +24,23 @@ def staging_root(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/starmill-{context.applicationId}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the staging folder and return the written table."""
+def new_folder(spark: SparkSession) -> str:
+    """A folder of its own for what one user of staged tables writes."""
+    return f"{staging_root(spark)}/{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` below ``folder`` (default: the application's) and return the written table."""
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{folder or staging_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_staged(spark: SparkSession) -> None:
-    """Delete this application's staged tables. Frames built on them become unreadable."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+def release_staged(spark: SparkSession, folder: str | None = None) -> None:
+    """Delete staged tables: those of ``folder``, or all of this application.
+
+    Frames built on them become unreadable.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder or staging_root(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

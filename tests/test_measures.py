@@ -38,6 +38,23 @@ def test_rows_before_reviews_give_the_same_measures(warehouse, fact):
         assert rows(measure(warehouse.sales_rows)) == rows(measure(fact))
 
 
+def test_items_with_repeated_or_unreadable_numbers_count(spark):
+    """Two unreadable numbers, and two products under number 1: 56.0 in all."""
+    items = [
+        ("o1", "a", "p1", "s1", "2018-01-02 12:00:00", "10.0", "1.0"),
+        ("o1", "b", "p1", "s1", "2018-01-02 12:00:00", "12.0", "1.0"),
+        ("o3", "1", "p1", "s1", "2018-01-04 12:00:00", "14.0", "1.0"),
+        ("o3", "1", "p2", "s1", "2018-01-04 12:00:00", "16.0", "1.0"),
+    ]
+    built = Warehouse(cleaning.clean(shop.raw(spark, order_items=items)))
+    whole = built.table("fact_orderlifecycle")
+    assert whole.count() == 6  # order o1 has two reviews
+    assert rows(measures.total_sales(built.sales_rows)) == [(56.0,)]
+    assert rows(measures.total_sales(whole)) == [(56.0,)]
+    by_category = measures.sales_by_category(whole, built.table("dim_products"))
+    assert rows(by_category) == [("books", 17.0, 1), ("toys", 39.0, 2)]
+
+
 def test_on_time(fact):
     assert rows(measures.on_time_delivery(fact)) == [(1, 2, 50.0)]
     assert rows(measures.on_time_delivery(fact, ["canceled"])) == [(0, 0, None)]

@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from starmill import queries
 from starmill.operators.dedup import keep_one
 from starmill.operators.matching import lookup
 from starmill.plans import clean as cleaning
@@ -108,6 +109,22 @@ def test_scan_reads_only_what_a_measure_needs(spark):
     assert events and all("ts:" not in line for line in events)
 
 
+def scanned(df, table):
+    """The columns that a plan reads of a table; empty if it does not read it."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    schemas = re.findall(rf"{table}\.parquet\].*ReadSchema: struct<(.*?)>", plan)
+    return {c.split(":")[0] for s in schemas for c in s.split(",") if c}
+
+
+def test_unread_columns_and_tables_are_not_read(spark):
+    x = queries.Inputs(spark, FOLDER)
+    assert "props" not in scanned(queries.payments_mom(x), "events")
+    assert scanned(queries.purchase_date_bounds(x), "orders")
+    assert not scanned(queries.purchase_date_bounds(x), "lineitem")
+    assert not scanned(queries.payment_mix(x), "lineitem")
+    assert scanned(queries.order_count(x), "part") <= {"p_partkey", "p_type"}
+
+
 def test_date_keys_cost_no_join(spark):
     tune(spark, FOLDER)
     built = Warehouse(cleaning.clean(adapter.raw_tables(spark, FOLDER), FIRST), closed="right")

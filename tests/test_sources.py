@@ -11,7 +11,7 @@ from pyspark.sql import DataFrameWriter
 from starmill import schemas, staging
 from starmill.plans.clean import clean
 from starmill.plans.model import Warehouse
-from starmill.session import tune
+from starmill.session import restore, tune
 from starmill.sources import sinks
 from starmill.sources.raw import RAW_TABLES, REVIEWS_SCHEMA, read_csv, read_raw
 
@@ -109,11 +109,17 @@ def test_jdbc_load_order_and_options(warehouse, monkeypatch):
     assert [c["table"] for c in calls] == list(schemas.TABLES)
     assert {c["mode"] for c in calls} == {"append"}
     assert calls[0]["properties"].items() >= login.items() and calls[0]["url"] == "jdbc:db"
-    assert calls[0]["properties"]["numPartitions"] == sinks.CONNECTIONS
+    assert calls[0]["properties"]["numPartitions"] == str(sinks.CONNECTIONS)
     assert "truncate" not in calls[0]["properties"]
     calls.clear()
-    sinks.write_warehouse(warehouse, "jdbc:db", "jdbc", mode="overwrite", properties=login)
+    sinks.write_warehouse(
+        warehouse, "jdbc:db", "jdbc", mode="overwrite", properties=login, connections=7
+    )
     assert {c["properties"]["truncate"] for c in calls} == {"true"}
+    assert {c["properties"]["numPartitions"] for c in calls} == {"7"}
+    # Facts refer to dimensions, so emptying a dimension has to empty them as well.
+    cascading = {c["table"] for c in calls if c["properties"].get("cascadeTruncate") == "true"}
+    assert cascading == {t for t in schemas.TABLES if t.startswith("dim_")}
     with pytest.raises(ValueError):
         sinks.write_warehouse(warehouse, "x", "other")
 
@@ -139,6 +145,45 @@ def test_staged_tables_can_be_released(spark, tmp_path, monkeypatch):
     assert not (tmp_path / "own").exists()
 
 
+def test_warehouses_release_only_their_own_tables(spark):
+    first, second = (Warehouse(clean(shop.raw(spark))) for _ in range(2))
+    before = rows(second.table("fact_orderpayments"))
+    first.table("fact_orderpayments").count()
+    first.release()
+    assert rows(second.table("fact_orderpayments")) == before
+    with pytest.raises(Exception, match="(?i)not.?exist"):
+        first.table("fact_orderpayments").collect()
+
+
+def test_a_failed_load_releases_too(spark, tmp_path, monkeypatch):
+    built = Warehouse(clean(shop.raw(spark)))
+
+    def fail(*_):
+        raise OSError("target is full")
+
+    monkeypatch.setattr(sinks, "write_parquet", fail)
+    released = []
+    monkeypatch.setattr(Warehouse, "release", lambda self: released.append(self))
+    with pytest.raises(OSError, match="full"):
+        sinks.write_warehouse(built, str(tmp_path), release=True)
+    assert released == [built]
+
+
+def test_key_width_follows_the_row_counts(warehouse, monkeypatch):
+    assert not sinks.needs_wide_keys(warehouse)
+    monkeypatch.setattr(schemas, "INT_MAX", 3)
+    assert sinks.needs_wide_keys(warehouse)
+
+
+def test_numbers_beyond_int_stop_the_load(spark):
+    items = [("o1", str(2**40), "p1", "s1", "2018-01-02 12:00:00", "10.0", "1.5")]
+    built = Warehouse(clean(shop.raw(spark, order_items=items)))
+    fact = built.table("fact_orderlifecycle")
+    assert [r.order_item_id for r in fact.collect()] == [2**40, 2**40]
+    with pytest.raises(Exception, match="exceeds INT"):
+        schemas.conform(fact, "fact_orderlifecycle").collect()
+
+
 def test_staging_refuses_a_machine_local_folder_on_a_cluster(spark, monkeypatch):
     class Cluster:
         master, applicationId = "yarn", "app"
@@ -161,6 +206,12 @@ def test_staging_refuses_a_machine_local_folder_on_a_cluster(spark, monkeypatch)
 def test_tune_sizes_shuffles(spark, settings):
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     settings(**{name.replace(".", "__"): "1"})
-    tune(spark, "/root/testdata/sf0.001")
+    forced = spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin", None)
+    before = tune(spark, "/root/testdata/sf0.001")
     assert int(spark.conf.get(name)) == spark.sparkContext.defaultParallelism
     assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+    tune(spark, "/root/testdata/sf0.001", partition_bytes=1024, most=500)
+    assert spark.conf.get(name) == "500"
+    restore(spark, before)
+    assert spark.conf.get(name) == "1"
+    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin", None) == forced
