@@ -10,6 +10,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -81,9 +82,12 @@ def release_shuffles(spark: SparkSession) -> None:
     """Let Spark delete shuffle files that only cut lineages had used.
 
     Its cleaner acts when the driver collects garbage, which a mostly idle driver rarely does.
+    References from Python are dropped by a thread of their own, hence the second turn.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.5)
+        spark.sparkContext._jvm.System.gc()
 
 
 # --- inside tasks -----------------------------------------------------------------------

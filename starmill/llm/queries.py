@@ -19,6 +19,7 @@ from starmill.llm import (
     toxicity,
 )
 from starmill.llm.common import importable, read
+from starmill.llm.oracles import SQL  # noqa: F401
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,4 +81,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_lm_scoring,
     )
 }
-SQL: dict[str, str] = {}
+
