@@ -11,8 +11,9 @@ with a probability of 3e-7, at higher similarities less.
 Confirmation, without all pairs of a band. Documents with equal shingle sets are one. Every
 document is compared with the smallest of each band it is in, and what is linked becomes one
 component. In bands that still hold several components, a document is dropped if too many of
-its shingles occur in no other such document to be linked to any. Pairs of different
-components that remain are all compared. Nothing is capped.
+its shingles occur in no other such document to be linked to any. Of the rest, pairs of
+different components are compared if they share a shingle among their rarest ones, which
+every similar pair does. Nothing is capped.
 
 Words are runs without blanks, A-Z lower-cased. NULL, empty and blank texts have no shingle
 and no link; texts of fewer than five words are one shingle. Rows that repeat a doc_id with
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmill.llm.common import (
@@ -180,6 +181,34 @@ def _can_link(live: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return live.join(lost, "_rep", "left_anti")
 
 
+def _pairs_left(live: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v, c, d) of different components that may still be similar enough.
+
+    Of a set's shingles, ordered from rare to frequent, a similar set must share one of the
+    first n - ceil(0.85 n) + 1, at a place from which enough are still to come in both.
+    So sets that are near the same text, but not near each other, meet in few rows.
+    """
+    sets = live.select("_rep", "n", "_c").distinct()
+    shingles = texts.join(sets, "_rep", "left_semi").mapInArrow(_shingle_rows, f"_rep {REP}, _h bigint")
+    often = shingles.groupBy("_h").agg(F.count("*").alias("_in"))
+    order = Window.partitionBy("_rep").orderBy("_in", "_h")
+    placed = shingles.join(often, "_h").withColumn("_at", F.row_number().over(order)).join(sets, "_rep")
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    placed = written(placed.where((F.col("_in") > 1) & (F.col("_at") <= first)).drop("_in"))
+    left = placed.select("_h", F.col("_rep").alias("u"), "n", F.col("_c").alias("c"), F.col("_at").alias("i"))
+    right = placed.select(
+        "_h", F.col("_rep").alias("v"), F.col("n").alias("m"), F.col("_c").alias("d"), F.col("_at").alias("j")
+    )
+    most = 1 + F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j"))
+    enough = 100 * most >= percent * (F.col("n") + F.col("m") - most)
+    return (
+        left.join(right, "_h")
+        .where((F.col("u") < F.col("v")) & (F.col("c") != F.col("d")) & _close(percent) & enough)
+        .select("u", "v", "c", "d")
+        .distinct()
+    )
+
+
 def classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(features per document, (_rep, component) of each set that is linked to another)."""
     features = written(keyed(docs).mapInArrow(_features, FEATURES))
@@ -228,15 +257,7 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFra
         rows = live.count()
         if 10 * rows > 9 * before:
             break
-    other = live.select("_band", F.col("_rep").alias("v"), F.col("n").alias("m"), F.col("_c").alias("d"))
-    rest = (
-        live.select("_band", F.col("_rep").alias("u"), "n", F.col("_c").alias("c"))
-        .join(other, "_band")
-        .where((F.col("u") < F.col("v")) & (F.col("c") != F.col("d")))
-        .where(_close(percent))
-        .select("u", "v", "c", "d")
-        .distinct()
-    )
+    rest = _pairs_left(live, texts, percent)
     rest = written(rest.join(stars, ["u", "v"], "left_anti"))
     more = _confirm(rest.select("u", "v"), texts, percent).join(rest, ["u", "v"])
     merged = components(more.select(F.col("c").alias("u"), F.col("d").alias("v")))
