@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,3 +44,10 @@ def orphan_keys(
     """
     known = parent.select(F.col(parent_key or key).alias(key)).distinct()
     return df.select(key).distinct().join(known, key, "left_anti")
+
+
+def wanted_orders(df: DataFrame, orders: DataFrame | Sequence[str]) -> DataFrame:
+    """Rows of the given orders: ids, or a frame that has them."""
+    if isinstance(orders, DataFrame):
+        return keep_matching(df, orders, "order_id")
+    return df.where(F.col("order_id").isin(*orders))

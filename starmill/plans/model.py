@@ -20,7 +20,7 @@ from starmill.functions.calendar import (
 from starmill.functions.casts import typed
 from starmill.operators.dedup import require
 from starmill.operators.keys import surrogate_key
-from starmill.operators.matching import keep_matching, lookup
+from starmill.operators.matching import keep_matching, lookup, wanted_orders
 from starmill.plans.integrity import GEO_ZIP
 from starmill.staging import new_folder, release_staged, stage
 
@@ -35,15 +35,16 @@ LIFECYCLE_DATE_KEYS = {
 }
 
 
-def review_links(orders: DataFrame, reviews: DataFrame) -> DataFrame:
+def review_links(orders: DataFrame, reviews: DataFrame, *named: str) -> DataFrame:
     """One row per (order, review), and one with NULL review for each order without any.
+    ``named`` columns of the review go along.
 
     Joining items to this table with an inner join gives what a left join to the reviews
     gives, but an inner join lets Spark split a very large order on either side.
     """
     reviewed = reviews.select("order_id").distinct()
     silent = orders.select("order_id").join(reviewed, "order_id", "left_anti")
-    linked = reviews.select("order_id", "review_id", "review_sk")
+    linked = reviews.select("order_id", "review_id", "review_sk", *named)
     return linked.unionByName(silent, allowMissingColumns=True)
 
 
@@ -150,11 +151,21 @@ class Warehouse:
     def dim_date(self) -> DataFrame:
         return date_attributes(date_spine(self.date_bounds, self.closed))
 
-    def _items_of(self, *tables: DataFrame) -> DataFrame:
-        """Items of known products and sellers, joined to tables by order."""
-        products = self.dim_products.select("product_id", "product_sk")
-        sellers = self.dim_sellers.select("seller_id", "seller_sk")
-        items = lookup(self.tables["order_items"], "product_id", products)
+    def _items_of(
+        self,
+        *tables: DataFrame,
+        product: Sequence[str] = (),
+        seller: Sequence[str] = (),
+        items: DataFrame | None = None,
+    ) -> DataFrame:
+        """Items of known products and sellers, joined to tables by order.
+
+        ``product`` and ``seller`` name further columns of theirs to carry along.
+        """
+        products = self.dim_products.select("product_id", "product_sk", *product)
+        sellers = self.dim_sellers.select("seller_id", "seller_sk", *seller)
+        items = self.tables["order_items"] if items is None else items
+        items = lookup(items, "product_id", products)
         joined = lookup(lookup(items, "seller_id", sellers), "order_id", *tables)
         return joined.withColumn("item_text", F.col("order_item_id")).transform(
             typed, order_item_id="bigint"
@@ -175,6 +186,35 @@ class Warehouse:
         """
         return self._lifecycle(self._items_of(self.orders))
 
+    def order_detail(self, orders: DataFrame | Sequence[str] | None = None) -> DataFrame:
+        """The order fact of the given orders (all if None) with what its keys stand for.
+
+        Names travel with the lookups that find the keys, so each entity is joined once.
+        Rows are not numbered. Year and month are NULL outside the date spine.
+        """
+        customers = self.dim_customers.select(
+            "customer_id", "customer_sk", "customer_city", "customer_state"
+        )
+        known = lookup(self.tables["orders"], "customer_id", customers)
+        items = self.tables["order_items"]
+        if orders is not None:
+            known, items = (wanted_orders(df, orders) for df in (known, items))
+        rows = self._items_of(
+            review_links(known, self.reviews, "review_score"),
+            known,
+            product=["product_category_english_name"],
+            seller=["seller_city"],
+            items=items,
+        )
+        placed = F.col("order_purchase_timestamp")
+        dated = F.col("order_purchase_date_sk").isNotNull()
+        return self._lifecycle(rows).withColumns(
+            {
+                "purchase_year": F.when(dated, F.year(placed)),
+                "purchase_month": F.when(dated, F.month(placed)),
+            }
+        )
+
     def _lifecycle(self, items: DataFrame) -> DataFrame:
         dated = add_date_keys(
             event_dates(items), LIFECYCLE_DATE_KEYS, self.date_bounds, self.closed

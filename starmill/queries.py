@@ -340,14 +340,17 @@ def lifecycle_by_status(x: Inputs) -> DataFrame:
     return _rounded(by_status, 6, *measures.LIFECYCLE_STEPS)
 
 
+DETAIL = (
+    "order_id order_item_id order_status shipping_limit_date order_purchase_timestamp "
+    "order_approved_at order_delivered_carrier_date order_delivered_customer_date "
+    "order_estimated_delivery_date price freight_value total_price customer_id customer_city "
+    "customer_state product_id product_category_english_name seller_id seller_city review_id "
+    "review_score purchase_year purchase_month"
+).split()
+
+
 def order_detail(x: Inputs) -> DataFrame:
-    w = x.unnumbered
-    dimensions = {t: w.table(t) for t in schemas.UNIQUE_KEY}
-    fact = w.lifecycle_rows.select(
-        *[c for c in schemas.columns("fact_orderlifecycle") if c != "order_sk"]
-    )
-    detail = measures.order_detail(fact, dimensions)
-    return detail.drop(*[c for c in detail.columns if c.endswith("_sk")])
+    return x.unnumbered.order_detail().select(*DETAIL)
 
 
 def order_payment_detail(x: Inputs) -> DataFrame:

@@ -144,6 +144,12 @@ def test_order_detail(spark, warehouse, fact):
     wanted = spark.createDataFrame([("o2",), ("o3",), ("o3",)], "order_id string")
     assert measures.order_detail(fact, dimensions, wanted).count() == 2
     assert measures.order_detail(fact, dimensions).count() == fact.count()
+    shared = ["order_id", "order_item_id", "customer_id", "customer_city", "product_id",
+              "seller_city", "review_id", "review_score", "purchase_year", "purchase_month"]
+    for chosen in (None, ["o2"], wanted):
+        assert rows(warehouse.order_detail(chosen), *shared) == rows(
+            measures.order_detail(fact, dimensions, chosen), *shared
+        )
     paid = measures.order_payment_detail(
         warehouse.table("fact_orderpayments"), dimensions["dim_customers"], wanted
     )
