@@ -55,6 +55,8 @@ def _offers(length: int, shorter: int, window: int):
             ids, _ = _columns(batch)
             grams, _ = words.grams(length)
             fits = _candidates(batch, words, shorter, window)
+            if not len(fits):
+                continue
             # A gram stands for a window if it is the least of one that fits.
             least = np.where(fits, sliding(grams, window - length + 1), np.uint64(0))
             span = window - length
