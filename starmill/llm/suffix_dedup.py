@@ -1,17 +1,20 @@
 """Remove byte strings of a fixed length that start in an earlier document too.
 
 Method. Candidate places come first: every string of ``length`` bytes is represented by the
-least hash of its 16-byte pieces, and only strings whose representative occurs in two
+least hash of its 24-byte pieces, and only strings whose representative occurs in two
 documents go on. Around each such representative (the anchor) a context is cut that holds
 every string it stands for, so equal strings meet under equal anchors. Inside a task,
 bounded batches of contexts become two shards. Each shard gets its Burrows-Wheeler
-transform; the two are merged by refining their interleave ``length`` times: each round
-deals the merged rows out by the symbol before them, which orders them by one symbol more
-without comparing suffixes. The boundaries that appear in round k are where common prefixes
-end at k symbols, so after ``length`` rounds the blocks are the repeated intervals.
-
-Contexts that are equal are one context, with the smallest document first. An anchor that
-more than one document in 1000 shares would make its group grow with the corpus; there, the
+transform; the two are merged by refining their interleave ``length`` / 2 times: each round
+deals the merged rows out by the symbol (two bytes) before them, which orders them by one
+symbol more without comparing suffixes. The boundaries that appear in round k are where
+common prefixes end at k symbols, so after the last round the blocks are the repeated
+intervals.
+
+A text that an earlier document has as a whole is removed as a whole, and takes no part in
+the search: its strings start in that document as well. Contexts that are equal are one context, with the smallest document first, and a batch
+leaves out contexts that share no more than the anchor. An anchor that
+more than one document in 100 shares would make its group grow with the corpus; there, the
 strings travel one by one under their own hash.
 
 NULL texts are empty; documents shorter than ``length`` lose nothing. Matches never cross
@@ -21,6 +24,7 @@ documents. Rows that repeat a doc_id do not count as earlier for each other.
 from __future__ import annotations
 
 import hashlib
+import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,17 +34,20 @@ from pyspark.sql import functions as F
 
 from starmill.llm import sieve
 from starmill.llm.common import (
-    ODD, keyed, mix, pieces, prefix_hashes, runs, shown_id, signed, sliding, span_hashes,
-    text_buffer, written,
+    ODD, keyed, mix, pieces, prefix_hashes, release_shuffles, runs, shown_id, signed, sliding,
+    span_hashes, strided_hashes, text_buffer, written,
 )
+from starmill.llm.substring_dedup import Spans, collected
 
 LENGTH = 50
-PIECE = 16
+PIECE = 24
 # Contexts merged at once inside a task; a larger group of one anchor is merged whole.
-BATCH = 6000
+BATCH = 2000
 # An anchor is hot beyond this share of the documents (so there are few hot anchors).
-HOT_SHARE = 1000
+HOT_SHARE = 100
 HOT_LEAST = 256
+# Text scanned at once, in bytes: little for the caches, more where equal contexts meet.
+SCANNED, SETTLED = 1 << 18, 1 << 20
 
 
 def _col(batch: pa.RecordBatch, name: str) -> pa.Array:
@@ -48,100 +55,101 @@ def _col(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 
 class Strings:
-    """All strings of a chunk: prefix hashes, piece hashes, and each string's least piece."""
+    """The pieces of a chunk and the anchors among them.
+
+    A piece is an anchor if some whole string around it has no piece of a smaller hash.
+    """
 
     def __init__(self, batch: pa.RecordBatch, length: int):
         self.data, self.offsets = text_buffer(_col(batch, "_text"))
         self.prefix = prefix_hashes(self.data)
-        at = np.arange(max(len(self.data) - PIECE + 1, 0))
-        self.pieces = span_hashes(self.prefix, at, at + PIECE)
-        least = sliding(self.pieces, length - PIECE + 1)
-        fits = np.zeros(len(least), bool)
-        for a, b in zip(self.offsets[:-1], self.offsets[1:], strict=True):
-            fits[a : max(b - length + 1, a)] = True
-        self.least = np.where(fits, least, np.uint64(0))
-
-    def anchors(self, chosen: np.ndarray, length: int) -> np.ndarray:
-        """Where a piece is the least of a chosen string around it."""
+        self.pieces = strided_hashes(self.prefix, PIECE)
+        # 31 bits order the pieces; two that tie are both anchors, wherever they occur.
+        rank = (self.pieces >> np.uint64(32)).astype(np.uint32)
         span = length - PIECE
-        pad = np.zeros(span, np.uint64)
-        around = np.concatenate([pad, np.where(chosen, self.least, np.uint64(0)), pad])
-        top = sliding(around, span + 1, np.maximum)
-        return np.flatnonzero((top == self.pieces[: len(top)]) & (top != 0))
-
-    def rows(self, at: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.offsets, at, "right") - 1
+        least = sliding(rank, span + 1)
+        for end in self.offsets[1:-1]:
+            least[max(end - length + 1, 0) : end] = 0
+        self.least, self.rank = least, rank
+        pad = np.zeros(span, np.uint32)
+        top = sliding(np.concatenate([pad, least, pad]), span + 1, np.maximum)
+        at = np.flatnonzero(top == rank) if len(least) else np.zeros(0, np.int64)
+        sizes = np.diff(self.offsets)
+        self.rows = np.searchsorted(self.offsets, at, "right") - 1
+        whole = sizes[self.rows] >= length
+        self.anchors, self.rows = at[whole], self.rows[whole]
 
 
 def _offers(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "_text"):
+        for batch in pieces(batches, "_text", SCANNED):
             strings = Strings(batch, length)
-            at = strings.anchors(strings.least != 0, length)
             ids = _col(batch, "_id").to_numpy(zero_copy_only=False)
-            hashes = _col(batch, "_th").to_numpy(zero_copy_only=False)
-            yield sieve.offer(strings.pieces[at], strings.rows(at), ids, hashes, within=False)
+            yield sieve.offer(strings.pieces[strings.anchors], strings.rows, ids, within=False)
 
     return run
 
 
-CONTEXT = "_deal bigint, _bytes binary, _id bigint, _th int, _start int, _end int"
+# ``_anchor`` is the anchor's place in the context; a NULL context is a span to remove.
+CONTEXT = "_deal bigint, _bytes binary, _anchor int, _id bigint, _th int, _start int, _end int"
 
 
 def _contexts(length: int, hot: np.ndarray):
     """Cut contexts; those with an equal one of a smaller document in the chunk are settled."""
+    reach = length - PIECE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "_text"):
+        for batch in pieces(batches, "_text", SETTLED):
             strings = Strings(batch, length)
             keys = np.unique(_col(batch, "_keys").flatten().to_numpy()).view(np.uint64)
-            at = strings.anchors(np.isin(strings.least, keys), length)
-            row, off = strings.rows(at), strings.offsets
-            start = np.maximum(at - (length - PIECE), off[row])
+            deal = strings.pieces[strings.anchors]
+            known = np.isin(deal, keys)
+            at, row, deal, off = strings.anchors[known], strings.rows[known], deal[known], strings.offsets
+            start = np.maximum(at - reach, off[row])
             end = np.minimum(at + length, off[row + 1])
-            deal = strings.pieces[at]
-            is_hot = np.isin(deal, hot)
-            if is_hot.any():
-                # Each string by itself, once, dealt by its own hash.
-                s, e = start[is_hot], end[is_hot]
+            alone = np.isin(deal, hot)
+            if alone.any():
+                # Each string of a hot anchor by itself, dealt by its own hash.
+                s, e, a = start[alone], end[alone], at[alone]
                 count = e - s - length + 1
-                one = np.repeat(s, count) + (
-                    np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                )
-                one = one[np.isin(strings.least[one], hot)]
-                one = np.unique(one)
+                step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                one = np.repeat(s, count) + step
+                one = np.unique(one[strings.least[one] == np.repeat(strings.rank[a], count)])
                 own = span_hashes(strings.prefix, one, one + length) >> np.uint64(1)
-                start = np.concatenate([start[~is_hot], one])
-                end = np.concatenate([end[~is_hot], one + length])
-                row = np.concatenate([row[~is_hot], strings.rows(one)])
-                deal = np.concatenate([deal[~is_hot], own])
+                start, end = np.append(start[~alone], one), np.append(end[~alone], one + length)
+                row = np.append(row[~alone], np.searchsorted(off, one, "right") - 1)
+                at, deal = np.append(at[~alone], one), np.append(deal[~alone], own)
             ids = _col(batch, "_id").to_numpy(zero_copy_only=False)
             hashes = _col(batch, "_th").to_numpy(zero_copy_only=False)
             body = span_hashes(strings.prefix, start, end)
             order = np.lexsort((ids[row], body, deal))
-            start, end, row, deal, body = (x[order] for x in (start, end, row, deal, body))
+            start, end, row, deal, body, at = (x[order] for x in (start, end, row, deal, body, at))
             new = np.ones(len(deal), bool)
             new[1:] = (deal[1:] != deal[:-1]) | (body[1:] != body[:-1])
             first = np.flatnonzero(new)[np.cumsum(new) - 1] if len(deal) else np.zeros(0, int)
             sure = ids[row] != ids[row[first]]
             s, e, r = runs(start[sure], end[sure], row[sure])
-            open_ = np.flatnonzero(~sure)
-            source = pa.py_buffer(np.ascontiguousarray(strings.data))
-            view = memoryview(source)
-            cut = [view[a:b] for a, b in zip(start[open_], end[open_], strict=True)]
-            row_all = np.concatenate([row[open_], r])
+            left = np.flatnonzero(~sure)
+            text = strings.data.tobytes()
+            # A string dealt by its own hash needs no bytes: its group is all alike.
+            cut = [
+                text[a:b] if d >> 63 else b""
+                for a, b, d in zip(start[left].tolist(), end[left].tolist(), deal[left].tolist(), strict=True)
+            ]
+            row_all = np.concatenate([row[left], r])
             base = off[row_all]
             spread = mix(mix(ids[r].view(np.uint64) * ODD) + s.astype(np.uint64))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(signed(np.concatenate([deal[open_], spread >> np.uint64(1)]))),
-                    pa.array([bytes(x) for x in cut] + [None] * len(r), pa.binary()),
+                    pa.array(signed(np.concatenate([deal[left], spread >> np.uint64(1)]))),
+                    pa.array(cut + [None] * len(r), pa.binary()),
+                    pa.array(np.concatenate([at[left] - start[left], np.zeros(len(r), np.int64)]).astype(np.int32)),
                     pa.array(ids[row_all]),
                     pa.array(hashes[row_all]),
-                    pa.array((np.concatenate([start[open_], s]) - base).astype(np.int32)),
-                    pa.array((np.concatenate([end[open_], e]) - base).astype(np.int32)),
+                    pa.array((np.concatenate([start[left], s]) - base).astype(np.int32)),
+                    pa.array((np.concatenate([end[left], e]) - base).astype(np.int32)),
                 ],
-                ["_deal", "_bytes", "_id", "_th", "_start", "_end"],
+                ["_deal", "_bytes", "_anchor", "_id", "_th", "_start", "_end"],
             )
 
     return run
@@ -153,11 +161,11 @@ def _contexts(length: int, hot: np.ndarray):
 def shard_transform(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Rotations of the rows in order of their first ``length`` symbols, and the symbol before each.
 
-    ``symbols`` is a matrix of codes from 0 (the end mark, at least one per row) to 256.
+    ``symbols`` is a matrix of 16-bit codes; 0 is the end mark, at least one per row.
     """
     rank, known = symbols.astype(np.uint64), 1
     while known < min(length, 4):
-        rank = (rank << np.uint64(9 * known)) | np.roll(rank, -known, 1)
+        rank = (rank << np.uint64(16 * known)) | np.roll(rank, -known, 1)
         known *= 2
     order = None
     while order is None or known < length:
@@ -199,63 +207,77 @@ def merge_transforms(first: np.ndarray, second: np.ndarray, length: int):
     return side, block
 
 
+def _coded(contexts: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """Two rows per context, from its even and its odd places: codes of two bytes each.
+
+    The codes are ranks of the pairs that occur, from 1, so that 0 can end a row. A merge
+    of such rows takes half as many rounds as one of single bytes.
+    """
+    width = int(sizes.max()) // 2 * 2 + 4
+    table = np.zeros((len(contexts), width), np.uint16)
+    inside = np.arange(width) < sizes[:, None]
+    table[inside] = np.frombuffer(b"".join(contexts), np.uint8)
+    pairs = table[:, :-1] * np.uint16(256) + table[:, 1:]
+    whole = inside[:, 1:]
+    seen = np.zeros(1 << 16, bool)
+    seen[pairs[whole]] = True
+    if seen.all():
+        raise OverflowError("every pair of bytes occurs: no code is left for the end")
+    code = np.cumsum(seen).astype(np.uint16)
+    coded = np.where(whole, code[pairs], np.uint16(0))
+    half = width // 2 - 1
+    return np.concatenate([coded[:, 0 : 2 * half : 2], coded[:, 1 : 2 * half + 1 : 2]], axis=1).reshape(-1, half)
+
+
 def repeated_places(contexts: list[bytes], owners: np.ndarray, length: int) -> np.ndarray:
-    """Matrix: does the string at this place of the context also occur with a smaller owner?"""
+    """Matrix: does the string at this place of the context also occur with a smaller owner?
+
+    ``length`` is even.
+    """
     count = len(contexts)
     sizes = np.array([len(c) for c in contexts])
-    width = int(sizes.max()) + 1
-    symbols = np.zeros((count, width), np.uint16)
-    inside = np.arange(width) < sizes[:, None]
-    symbols[inside] = np.frombuffer(b"".join(contexts), np.uint8).astype(np.uint16) + 1
-    half = max(count // 2, 1)
+    symbols = _coded(contexts, sizes)
+    width = symbols.shape[1]
+    half = max(count // 2, 1) * 2
     parts = [symbols[:half], symbols[half:]]
-    orders, transforms = zip(*(shard_transform(p, length) for p in parts if len(p)), strict=True)
+    orders, transforms = zip(*(shard_transform(p, length // 2) for p in parts if len(p)), strict=True)
     if len(parts[1]):
-        side, block = merge_transforms(*transforms, length)
+        side, block = merge_transforms(*transforms, length // 2)
         place = np.empty(len(side), np.int64)
         place[~side] = orders[0]
         place[side] = orders[1] + half * width
     else:
-        side, block = merge_transforms(transforms[0], transforms[0][:0], length)
+        side, block = merge_transforms(transforms[0], transforms[0][:0], length // 2)
         place = orders[0]
-    row, at = place // width, place % width
+    row = place // (2 * width)
+    at = place % width * 2 + place // width % 2
     whole = at + length <= sizes[row]
-    place, block, owner = place[whole], block[whole], owners[row[whole]]
-    gone = np.zeros(count * width, bool)
-    if len(place):
+    row, at, block = row[whole], at[whole], block[whole]
+    owner = owners[row]
+    gone = np.zeros((count, int(sizes.max()) + 1), bool)
+    if len(row):
         first = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
         least = np.minimum.reduceat(owner, first)
-        sizes_ = np.diff(np.append(first, len(block)))
-        gone[place] = owner > np.repeat(least, sizes_)
-    return gone.reshape(count, width)
+        gone[row, at] = owner > np.repeat(least, np.diff(np.append(first, len(block))))
+    return gone
 
 
-def _could_repeat(contexts: list[bytes], deal: np.ndarray, length: int) -> np.ndarray:
-    """Contexts that share more than the anchor with another context of their group.
+def _could_repeat(contexts: list[bytes], anchors: np.ndarray, length: int) -> np.ndarray:
+    """Contexts that share more than the anchor with another context of the batch.
 
     A string around the anchor reaches at least half of the rest to one side, so it shares
     the anchor with that half on the left or on the right.
     """
     sizes = np.array([len(c) for c in contexts])
-    data = np.frombuffer(b"".join(contexts), np.uint8)
-    off = np.concatenate([[0], np.cumsum(sizes)])
-    prefix = prefix_hashes(data)
+    off = np.cumsum(sizes) - sizes
+    prefix = prefix_hashes(np.frombuffer(b"".join(contexts), np.uint8))
     reach = (length - PIECE) // 2
-    # The anchor is the piece whose hash is the group's key.
     keep = np.zeros(len(contexts), bool)
-    at = np.arange(max(len(data) - PIECE + 1, 0))
-    owner = np.searchsorted(off, at, "right") - 1
-    is_anchor = span_hashes(prefix, at, at + PIECE) == deal[owner].view(np.uint64)
-    is_anchor &= at + PIECE <= off[owner + 1]
-    at, owner = at[is_anchor], owner[is_anchor]
-    for a, b in ((at - reach, at + PIECE), (at, at + PIECE + reach)):
-        fits = (a >= off[owner]) & (b <= off[owner + 1])
-        o = owner[fits]
-        h = span_hashes(prefix, a[fits], b[fits])
-        pair = np.unique(np.stack([h, o.astype(np.uint64)]), axis=1)
-        _, index, seen = np.unique(pair[0], return_inverse=True, return_counts=True)
-        keep[pair[1][seen[index] > 1].astype(np.int64)] = True
-    keep[deal >= 0] = True
+    for a, b in ((anchors - reach, anchors + PIECE), (anchors, anchors + PIECE + reach)):
+        fits = np.flatnonzero((a >= 0) & (b <= sizes))
+        h = span_hashes(prefix, off[fits] + a[fits], off[fits] + b[fits])
+        _, index, seen = np.unique(h, return_inverse=True, return_counts=True)
+        keep[fits[seen[index] > 1]] = True
     return keep
 
 
@@ -288,7 +310,7 @@ def _merge(length: int):
         deal, texts = table["_deal"].to_numpy(), table["_bytes"].to_pylist()
         new = np.ones(len(ids), bool)
         new[1:] = deal[1:] != deal[:-1]
-        new[1:] |= [a != b for a, b in zip(texts[1:], texts[:-1], strict=True)]
+        new[1:] |= np.fromiter(map(operator.ne, texts[1:], texts[:-1]), bool, len(texts) - 1)
         first = np.flatnonzero(new)
         owner = ids[first]
         of = np.cumsum(new) - 1
@@ -304,7 +326,7 @@ def _merge(length: int):
         if not len(chosen):
             return
         contexts = [texts[first[i]] for i in chosen]
-        keep = _could_repeat(contexts, group[chosen], length)
+        keep = _could_repeat(contexts, table["_anchor"].to_numpy()[first[chosen]], length)
         chosen = chosen[keep]
         contexts = [c for c, k in zip(contexts, keep, strict=True) if k]
         if len(chosen) < 2:
@@ -354,22 +376,20 @@ def _merge(length: int):
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "_text"):
         data, off = text_buffer(_col(batch, "_text"))
+        hashes = _col(batch, "_th").to_numpy(zero_copy_only=False)
         n = batch.num_rows
         removed, count, digests = np.zeros(n, np.int64), np.zeros(n, np.int64), []
-        starts, ends = _col(batch, "_starts"), _col(batch, "_ends")
+        spans = Spans(batch)
         for row in range(n):
             text = data[off[row] : off[row + 1]]
-            if starts[row].is_valid:
-                s, e = starts[row].values.to_numpy(), ends[row].values.to_numpy()
-                s, e, _ = runs(s, e, np.zeros(len(s), np.int64))
-                count[row], removed[row] = len(s), (e - s).sum()
-                edges = np.concatenate([[0], np.stack([s, e], 1).ravel(), [len(text)]])
-                digest = hashlib.sha256()
-                for a, b in zip(edges[::2], edges[1::2], strict=True):
-                    digest.update(text[a:b])
-                digests.append(digest.hexdigest())
-            else:
-                digests.append(hashlib.sha256(text).hexdigest())
+            s, e = spans.of(row, hashes[row])
+            s, e, _ = runs(s, e, np.zeros(len(s), np.int64))
+            count[row], removed[row] = len(s), (e - s).sum()
+            edges = np.concatenate([[0], np.stack([s, e], 1).ravel(), [len(text)]])
+            digest = hashlib.sha256()
+            for a, b in zip(edges[::2], edges[1::2], strict=True):
+                digest.update(text[a:b])
+            digests.append(digest.hexdigest())
         yield pa.RecordBatch.from_arrays(
             [
                 _col(batch, "_id"),
@@ -382,28 +402,38 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def copies(base: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(_id, _th, _end): texts that an earlier document has as a whole, and their sizes."""
+    size = F.octet_length("_text")
+    digests = base.where(size >= length).select("_id", "_th", size.alias("_end"), F.sha2("_text", 256).alias("_sha"))
+    first = digests.groupBy("_sha").agg(F.min("_id").alias("_first"))
+    later = digests.join(first, "_sha").where("_id > _first")
+    return later.select("_id", "_th", "_end").distinct()
+
+
 def removed_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(_id, _th, _starts, _ends): byte spans to remove, for documents that have any."""
+    """(_id, _ths, _starts, _ends): byte spans to remove, for documents that have any."""
     base = keyed(docs)
-    pairs = written(sieve.repeated(base.mapInArrow(_offers(length), sieve.SCHEMA)))
+    whole = written(copies(base, length))
+    originals = base.join(whole, ["_id", "_th"], "left_anti")
+    pairs = written(sieve.repeated(originals.mapInArrow(_offers(length), sieve.SCHEMA)))
+    release_shuffles(docs.sparkSession)
     most = max(HOT_LEAST, base.count() // HOT_SHARE)
-    # At most one key per 1/1000 of the documents' anchors: a bounded list.
-    hot = [r[0] for r in pairs.groupBy("_h").count().where(F.col("count") > most).collect()]
-    table = base.join(sieve.by_document(pairs), ["_id", "_th"])
+    # A document has one anchor in about 14 bytes, so few can be in that many documents.
+    hot = [r[0] for r in pairs.groupBy("_h").count().where(F.col("count") > most).select("_h").collect()]
+    table = base.join(sieve.by_document(pairs), "_id")
     contexts = table.mapInArrow(_contexts(length, np.array(sorted(hot), np.int64).view(np.uint64)), CONTEXT)
     spans = (
         contexts.repartition("_deal")
         .sortWithinPartitions("_deal", "_bytes", "_id")
         .mapInArrow(_merge(length), "_id bigint, _th int, _start int, _end int")
     )
-    return spans.groupBy("_id", "_th").agg(
-        F.collect_list("_start").alias("_starts"), F.collect_list("_end").alias("_ends")
-    )
+    return collected(spans.union(whole.select("_id", "_th", F.lit(0), "_end")))
 
 
 def deduplicate(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    joined = keyed(docs).join(removed_spans(docs, length), ["_id", "_th"], "left")
+    joined = keyed(docs).join(removed_spans(docs, length), "_id", "left")
     out = joined.mapInArrow(
         _apply,
         "_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
