@@ -90,6 +90,11 @@ def _offers(length: int):
     return run
 
 
+def mark(starts: np.ndarray, repeated: np.ndarray) -> np.ndarray:
+    """Starts, made negative where the document holds the same bytes at other places too."""
+    return np.where(repeated, -starts - 1, starts).astype(np.int32)
+
+
 # ``_anchor`` is the anchor's place in the context; a NULL context is a span to remove.
 CONTEXT = "_deal bigint, _bytes binary, _anchor int, _id bigint, _th int, _start int, _end int"
 
@@ -122,14 +127,18 @@ def _contexts(length: int, hot: np.ndarray):
             ids = _col(batch, "_id").to_numpy(zero_copy_only=False)
             hashes = _col(batch, "_th").to_numpy(zero_copy_only=False)
             body = span_hashes(strings.prefix, start, end)
-            order = np.lexsort((ids[row], body, deal))
+            order = np.lexsort((start, row, ids[row], body, deal))
             start, end, row, deal, body, at = (x[order] for x in (start, end, row, deal, body, at))
             new = np.ones(len(deal), bool)
             new[1:] = (deal[1:] != deal[:-1]) | (body[1:] != body[:-1])
             first = np.flatnonzero(new)[np.cumsum(new) - 1] if len(deal) else np.zeros(0, int)
             sure = ids[row] != ids[row[first]]
             s, e, r = runs(start[sure], end[sure], row[sure])
-            left = np.flatnonzero(~sure)
+            # A context that a document repeats travels once, marked.
+            again = np.zeros(len(deal) + 1, bool)
+            again[1:-1] = ~new[1:] & (row[1:] == row[:-1])
+            left = np.flatnonzero(~sure & ~again[:-1])
+            marked = again[1:][left]
             text = strings.data.tobytes()
             # A string dealt by its own hash needs no bytes: its group is all alike.
             cut = [
@@ -146,7 +155,12 @@ def _contexts(length: int, hot: np.ndarray):
                     pa.array(np.concatenate([at[left] - start[left], np.zeros(len(r), np.int64)]).astype(np.int32)),
                     pa.array(ids[row_all]),
                     pa.array(hashes[row_all]),
-                    pa.array((np.concatenate([start[left], s]) - base).astype(np.int32)),
+                    pa.array(
+                        mark(
+                            np.concatenate([start[left], s]) - base,
+                            np.concatenate([marked, np.zeros(len(r), bool)]),
+                        )
+                    ),
                     pa.array((np.concatenate([end[left], e]) - base).astype(np.int32)),
                 ],
                 ["_deal", "_bytes", "_anchor", "_id", "_th", "_start", "_end"],
@@ -305,6 +319,8 @@ def _merge(length: int):
             yield spans(ids[is_span], hashes[is_span], start[is_span], end[is_span])
             table = table.filter(pa.array(~is_span))
             ids, hashes, start, end = (x[~is_span] for x in (ids, hashes, start, end))
+        marked = start < 0
+        start = np.where(marked, -start - 1, start)
         if not len(ids):
             return
         deal, texts = table["_deal"].to_numpy(), table["_bytes"].to_pylist()
@@ -316,7 +332,7 @@ def _merge(length: int):
         of = np.cumsum(new) - 1
         later = ids != owner[of]
         if later.any():
-            yield spans(ids[later], hashes[later], start[later], end[later])
+            yield spans(ids[later], hashes[later], mark(start, marked)[later], end[later])
         # Only groups with two different contexts can hold more repeats.
         group = deal[first]
         company = np.zeros(len(first), bool)
@@ -345,7 +361,7 @@ def _merge(length: int):
         rows = holders[each]
         s, e = np.repeat(s, times), np.repeat(e, times)
         if len(rows):
-            yield spans(ids[rows], hashes[rows], start[rows] + s, start[rows] + e)
+            yield spans(ids[rows], hashes[rows], mark(start[rows] + s, marked[rows]), start[rows] + e)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -373,6 +389,20 @@ def _merge(length: int):
     return run
 
 
+def everywhere(text: bytes, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans, and for marked ones every place where the text holds the same bytes."""
+    if not (s < 0).any():
+        return s, e
+    starts, ends = list(s[s >= 0]), list(e[s >= 0])
+    for a, b in {(-a - 1, b) for a, b in zip(s.tolist(), e.tolist(), strict=True) if a < 0}:
+        place = text.find(text[a:b])
+        while place >= 0:
+            starts.append(place)
+            ends.append(place + b - a)
+            place = text.find(text[a:b], place + 1)
+    return np.array(starts), np.array(ends)
+
+
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "_text"):
         data, off = text_buffer(_col(batch, "_text"))
@@ -383,6 +413,7 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in range(n):
             text = data[off[row] : off[row + 1]]
             s, e = spans.of(row, hashes[row])
+            s, e = everywhere(text.tobytes(), s, e) if len(s) else (s, e)
             s, e, _ = runs(s, e, np.zeros(len(s), np.int64))
             count[row], removed[row] = len(s), (e - s).sum()
             edges = np.concatenate([[0], np.stack([s, e], 1).ravel(), [len(text)]])

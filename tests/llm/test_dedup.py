@@ -148,3 +148,10 @@ def test_merged_transforms_equal_sorted_suffixes():
     for row, (t, o) in enumerate(zip(texts, owners, strict=True)):
         for p in range(gone.shape[1]):
             assert gone[row, p] == (p + 8 <= len(t) and first[t[p : p + 8]] < o)
+
+
+def test_bytes_of_texts_that_repeat_themselves(session):
+    der, line = "Der " * 300, "the same line again and again, with some more words in it\n" * 40
+    rows = [(1, der), (2, "x" + der), (3, line), (4, "start " + line + der), (5, "Der " * 20 + "end"), (6, line[:70])]
+    frame = session.createDataFrame(rows, "doc_id bigint, text string")
+    assert result(suffix_dedup.deduplicate(frame)) == brute_bytes(rows)
