@@ -25,7 +25,7 @@ BLANKS = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 # Text scanned at once inside a task, in bytes. A longer document is scanned whole.
 CHUNK = 1 << 20
-# Half a million distinct items per 64-bit digest collide with a chance below 1e-8.
+# An odd factor, for spreading consecutive numbers over 64 bits.
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -78,6 +78,18 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Rows of (id, text hash), 16 bytes each, that a join may broadcast.
+BROADCAST_IDS = 1_000_000
+
+
+def small_or_shuffled(table: DataFrame, rows: int = BROADCAST_IDS) -> DataFrame:
+    """A written ``table``, hinted for broadcast if it has at most ``rows`` rows.
+
+    Joining texts to a short list then moves no text; a longer list is shuffled with them.
+    """
+    return F.broadcast(table) if table.count() <= rows else table
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark delete shuffle files that only cut lineages had used.
 
@@ -201,7 +213,7 @@ def windows(hashes: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, n
     if count <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
     total, done, step = hashes.copy(), 1, _BASE
-    # Double the length as long as it fits, then overlap nothing: add single words.
+    # Double the length as long as it fits, then add single words.
     while done * 2 <= n:
         total = total[: len(total) - done] + total[done:] * np.uint64(step)
         step = step * step % 2**64

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import row_id, shown_id, written
+from starmill.llm.common import row_id, shown_id, small_or_shuffled, written
 
 WINDOW = 5
 PERCENT = 80
@@ -95,7 +95,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     same = lambda a, b: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in key]
     on = lambda a, b: F.expr("true") if not (parts := same(a, b)) else _all(parts)
     few = written(hits.alias("h").join(suspected.alias("s"), on("h", "s"), "left_semi"))
-    wanted = few.select("_id", "_th").distinct()
+    wanted = small_or_shuffled(written(few.select("_id", "_th").distinct()))
     texts = base.join(wanted, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"])
     raw = texts.select("_id", "_th", _tokens(F.col("_text")).alias("_raw"))
     item_raw = items.select("_item", "_which", "_text").distinct().select(
@@ -150,7 +150,7 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no item was found, unchanged."""
-    found = written(matches(docs, benchmark).select("_id", "_th").distinct())
+    found = small_or_shuffled(written(matches(docs, benchmark).select("_id", "_th").distinct()))
     text = F.coalesce("text", F.lit(""))
     mine = docs.select(F.struct(*docs.columns).alias("_row"), row_id().alias("_id"), F.hash(text).alias("_th"))
     return mine.join(found, ["_id", "_th"], "left_anti").select("_row.*")

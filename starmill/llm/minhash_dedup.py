@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmill.llm.common import (
-    NULL_ID, ODD, Words, keyed, mix, pieces, row_id, shown_id, signed, windows, written,
+    NULL_ID, ODD, Words, keyed, mix, pieces, row_id, shown_id, signed, small_or_shuffled,
+    windows, written,
 )
 from starmill.llm.components import components
 
@@ -300,6 +301,7 @@ def survivors(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .select("_id", "_th")
         .distinct()
     )
+    later = small_or_shuffled(later)
     text = F.coalesce("text", F.lit(""))
     mine = docs.select(F.struct(*docs.columns).alias("_row"), row_id().alias("_id"), F.hash(text).alias("_th"))
     return mine.join(later, ["_id", "_th"], "left_anti").dropDuplicates(["_id", "_th"]).select("_row.*")

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import row_id, shown_id, written
+from starmill.llm.common import row_id, shown_id, small_or_shuffled, written
 
 # The patterns of the three kinds, the value's group, and its least length.
 KINDS = (
@@ -35,6 +35,8 @@ KINDS = (
 BARE = r"(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/_.=-]*+[0-9])[A-Za-z0-9+/_.=-]{16,}+"
 EXAMPLE = r"(?i)example|sample|dummy|placeholder|change.?me|your|xxxx|test|1234567|abcdef"
 MAX_OWNERS = 2
+# Documents with secrets whose spans may be broadcast, some hundred bytes each.
+BROADCAST_SPANS = 200_000
 LEAST_LIVE, LEAST_CHARACTERS = 16, 8
 
 _SPAN = "struct<start:int,kind:int,end:int,value:string>"
@@ -177,8 +179,8 @@ def masked(docs: DataFrame, owner: Column | None = None, repository: Column | No
     found = find(docs, owner, repository).select(
         "_id", "_th", F.sort_array(F.concat("_base", "_added")).alias("_spans")
     )
-    # Written, so that Spark knows its size and broadcasts it only if it is small.
     spans = written(found.where(F.size("_spans") > 0).dropDuplicates(["_id", "_th"]))
+    spans = small_or_shuffled(spans, BROADCAST_SPANS)
     text = F.coalesce("text", F.lit(""))
     mine = docs.select(F.struct(*docs.columns).alias("_row"), row_id().alias("_id"), F.hash(text).alias("_th"))
     joined = mine.join(spans, ["_id", "_th"], "left")

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from starmill.llm import sieve
 from starmill.llm.common import (
     ODD, keyed, mix, pieces, prefix_hashes, release_shuffles, runs, shown_id, signed, sliding,
-    span_hashes, strided_hashes, text_buffer, written,
+    small_or_shuffled, span_hashes, strided_hashes, text_buffer, written,
 )
 from starmill.llm.substring_dedup import Spans, collected
 
@@ -446,7 +446,7 @@ def removed_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(_id, _ths, _starts, _ends): byte spans to remove, for documents that have any."""
     base = keyed(docs)
     whole = written(copies(base, length))
-    originals = base.join(whole, ["_id", "_th"], "left_anti")
+    originals = base.join(small_or_shuffled(whole), ["_id", "_th"], "left_anti")
     pairs = written(sieve.repeated(originals.mapInArrow(_offers(length), sieve.SCHEMA)))
     release_shuffles(docs.sparkSession)
     most = max(HOT_LEAST, base.count() // HOT_SHARE)

@@ -102,7 +102,7 @@ def grades(row, column, toxic: np.ndarray) -> np.ndarray:
     return out
 
 
-def learn(row: np.ndarray, column: np.ndarray, toxic: np.ndarray, rounds: int = 150) -> Model:
+def learn(row: np.ndarray, column: np.ndarray, toxic: np.ndarray, rounds: int = 300) -> Model:
     grade = grades(row, column, toxic)
     n = len(toxic)
     seen, rate = np.bincount(column, minlength=COLUMNS), toxic.mean()

@@ -155,3 +155,17 @@ def test_bytes_of_texts_that_repeat_themselves(session):
     rows = [(1, der), (2, "x" + der), (3, line), (4, "start " + line + der), (5, "Der " * 20 + "end"), (6, line[:70])]
     frame = session.createDataFrame(rows, "doc_id bigint, text string")
     assert result(suffix_dedup.deduplicate(frame)) == brute_bytes(rows)
+
+
+def test_a_hot_key_sends_one_row_per_chunk_to_its_group():
+    from starmill.llm import sieve
+
+    hot = np.uint64((1 << 63) + 5)
+    keys = np.concatenate([np.full(300, hot), np.arange(300, dtype=np.uint64) + np.uint64(1 << 63) + np.uint64(9)])
+    rows = np.tile(np.arange(300), 2)
+    offered = sieve.offer(keys, rows, np.arange(300) * 7, within=False).to_pydict()
+    to_group = [k for k, d in enumerate(offered["_deal"]) if d == int(hot) - (1 << 64)]
+    assert len(to_group) == 1 and offered["_kind"][to_group[0]] == sieve.STAND_IN
+    assert offered["_kind"].count(sieve.PROVEN) == 300
+    assert offered["_kind"].count(sieve.SINGLE) == 300
+    assert len(set(offered["_deal"])) == 601

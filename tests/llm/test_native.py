@@ -181,3 +181,18 @@ def test_pipeline_stages_on_odd_rows(request, session, table):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(session, docs, FOLDER)
         docs.collect()
+
+
+def test_native_operators_run_no_python(session, documents):
+    from pyspark.sql import functions as F
+
+    from starmill.llm.queries import QUERIES
+
+    plans = [
+        QUERIES[n](session, FOLDER)
+        for n in ("op3_secret_scan", "op5_mixing", "op7_decontamination", "op9_quality_rules")
+    ]
+    plans.append(secret_scan.scan(documents, F.col("source"), F.col("lang")))
+    for frame in plans:
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Arrow|Pandas|ExistingRDD|Cartesian|NestedLoop", plan)
