@@ -34,6 +34,7 @@ from starmill.llm.common import (
     windows, written,
 )
 from starmill.llm.components import components
+from starmill.operators.matching import lookup
 
 SHINGLE = 5
 PERCENT = 85
@@ -164,7 +165,7 @@ def _undecided(banded: DataFrame) -> DataFrame:
         .where("_low <> _high")
         .select("_band")
     )
-    return banded.join(mixed, "_band", "left_semi")
+    return lookup(banded, "_band", mixed, how="left_semi")
 
 
 def _can_link(live: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -229,7 +230,7 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFra
         .where("_size > 1")
         .select("_band", F.col("_p._rep").alias("_pivot"), F.col("_p.n").alias("m"))
     )
-    shared = written(banded.join(pivots, "_band"))
+    shared = written(lookup(banded, "_band", pivots))
     wanted = shared.select("_rep._id", "_rep._th").distinct()
     # Rows that repeat id and text are one text.
     texts = written(
