@@ -38,6 +38,7 @@ from starmill.llm.common import (
     small_or_shuffled, span_hashes, strided_hashes, text_buffer, written,
 )
 from starmill.llm.substring_dedup import Spans, collected
+from starmill.operators.matching import lookup
 
 LENGTH = 50
 PIECE = 24
@@ -438,7 +439,7 @@ def copies(base: DataFrame, length: int = LENGTH) -> DataFrame:
     size = F.octet_length("_text")
     digests = base.where(size >= length).select("_id", "_th", size.alias("_end"), F.sha2("_text", 256).alias("_sha"))
     first = digests.groupBy("_sha").agg(F.min("_id").alias("_first"))
-    later = digests.join(first, "_sha").where("_id > _first")
+    later = lookup(digests, "_sha", first).where("_id > _first")
     return later.select("_id", "_th", "_end").distinct()
 
 
