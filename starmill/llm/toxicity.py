@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm import labelled
-from starmill.llm.common import CHUNK, pieces, prefix_hashes, span_hashes, text_buffer, written
+from starmill.llm.common import CHUNK, pieces, prefix_hashes, span_hashes, text_buffer
 
 COLUMNS = 1 << 18
 PREFIXES = (4, 5, 6, 7)
@@ -64,34 +64,16 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
     return pairs // COLUMNS, pairs % COLUMNS, len(at) - 1
 
 
-def _column_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many documents, and how many toxic ones, have each column."""
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "_text", CHUNK // 2):
-        row, column, _ = features(batch.column(batch.schema.get_field_index("_text")))
-        toxic = batch.column(batch.schema.get_field_index("label")).to_numpy() > 0
-        seen = np.bincount(column, minlength=COLUMNS)
-        bad = np.bincount(column[toxic[row]], minlength=COLUMNS)
-        used = np.flatnonzero(seen)
+        row, column, n = features(batch.column(batch.schema.get_field_index("_text")))
+        cuts = np.searchsorted(row, np.arange(n + 1))
+        packed = [column[a:b].astype(np.int32).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(used), pa.array(seen[used]), pa.array(bad[used])], ["column", "seen", "bad"]
+            [batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["doc_id", "label", "x"]
         )
 
 
-def _rows(telling: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "_text", CHUNK // 2):
-            row, column, n = features(batch.column(batch.schema.get_field_index("_text")))
-            kept = telling[column]
-            row, column = row[kept], column[kept]
-            cuts = np.searchsorted(row, np.arange(n + 1))
-            packed = [column[a:b].astype(np.int32).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["doc_id", "label", "x"]
-            )
-
-    return run
-
-
 def _logistic(v: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(v, -60, 60)))
 
@@ -120,12 +102,17 @@ def grades(row, column, toxic: np.ndarray) -> np.ndarray:
     return out
 
 
+def chosen(seen: np.ndarray, bad: np.ndarray, rate: float) -> np.ndarray:
+    """Columns seen often enough, and further from chance among toxic documents than SIGMAS."""
+    spread = np.sqrt(seen * rate * (1 - rate))
+    return (seen >= LEAST) & (np.abs(bad - seen * rate) > SIGMAS * spread)
+
+
 def learn(row: np.ndarray, column: np.ndarray, toxic: np.ndarray, rounds: int = 300) -> Model:
     grade = grades(row, column, toxic)
     n = len(toxic)
-    seen, rate = np.bincount(column, minlength=COLUMNS), toxic.mean()
-    gap = np.bincount(column, toxic[row], COLUMNS) - seen * rate
-    telling = (seen >= LEAST) & (np.abs(gap) > SIGMAS * np.sqrt(seen * rate * (1 - rate)))
+    seen, bad = np.bincount(column, minlength=COLUMNS), np.bincount(column, toxic[row], COLUMNS)
+    telling = chosen(seen, bad, toxic.mean())
     row, column = row[telling[column]], column[telling[column]]
     used, place = np.unique(column, return_inverse=True)
     shares = [(grade > k).mean() for k in range(GRADES - 1)]
@@ -166,27 +153,24 @@ def learn(row: np.ndarray, column: np.ndarray, toxic: np.ndarray, rounds: int =
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
     allowed = labelled.remainder(HELD_OUT[0]) != HELD_OUT[1]
-    sample = written(labelled.sample(docs, labels, "toxic", rows, allowed))
-    size, bad = sample.agg(F.count("*"), F.count_if(F.col("label") > 0)).first()
-    if not 0 < bad < size:
-        return Model(np.zeros(COLUMNS, np.float32), np.array([30.0, 31.0, 32.0]))
-    # Columns are chosen in Spark, so that the driver gets few entries of each document.
-    rate = bad / size
-    gap = F.abs(F.col("bad") - F.col("seen") * rate)
-    counts = (
-        sample.mapInArrow(_column_counts, "column bigint, seen bigint, bad bigint")
-        .groupBy("column")
-        .agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad"))
-        .where((F.col("seen") >= LEAST) & (gap > SIGMAS * F.sqrt(F.col("seen") * rate * (1 - rate))))
-    )
-    telling = np.zeros(COLUMNS, bool)
-    telling[[r[0] for r in counts.select("column").collect()]] = True
-    got = sample.mapInArrow(_rows(telling), "doc_id bigint, label int, x binary").collect()
-    got.sort(key=lambda r: r[0])
+    sample = labelled.sample(docs, labels, "toxic", rows, allowed)
+    got = sorted(sample.mapInArrow(_rows, "doc_id bigint, label int, x binary").collect(), key=lambda r: r[0])
     toxic = np.array([r[1] > 0 for r in got], np.float64)
-    sizes = [len(r[2]) // 4 for r in got]
-    column = np.frombuffer(b"".join(r[2] for r in got), np.int32).astype(np.int64)
-    return learn(np.repeat(np.arange(len(got)), sizes), column, toxic)
+    if not 0 < toxic.sum() < len(toxic):
+        return Model(np.zeros(COLUMNS, np.float32), np.array([30.0, 31.0, 32.0]))
+    # A few documents at a time: all columns of all documents would be large as integers.
+    packed = [r[2] for r in got]
+    seen, bad = np.zeros(COLUMNS, np.int64), np.zeros(COLUMNS)
+    for k in range(0, len(packed), 256):
+        part = packed[k : k + 256]
+        column = np.frombuffer(b"".join(part), np.int32)
+        seen += np.bincount(column, minlength=COLUMNS)
+        weights = np.repeat(toxic[k : k + 256], [len(x) // 4 for x in part])
+        bad += np.bincount(column, weights, COLUMNS)
+    telling = chosen(seen, bad, toxic.mean())
+    kept = [x[telling[x]] for x in (np.frombuffer(p, np.int32) for p in packed)]
+    column = np.concatenate(kept).astype(np.int64)
+    return learn(np.repeat(np.arange(len(kept)), [len(x) for x in kept]), column, toxic)
 
 
 def _scores(model: Model):
