@@ -5,8 +5,9 @@ permutation, circularly shifted by k, gives coordinate k; the least value over a
 shingles is its signature there. So one shingle needs one contiguous read of the second
 permutation for all coordinates.
 
-Candidates. 32 bands of 6 coordinates: two documents at a similarity of 0.85 share no band
-with a probability of 3e-7, at higher similarities less.
+Candidates. Number and depth of the bands follow from the similarity asked for: two documents
+that just reach it share no band with a probability of at most 3e-7, more similar ones with
+less. At 0.85 these are 32 bands of 6 coordinates, at 0.80 38 bands of 5.
 
 Confirmation, without all pairs of a band. Documents with equal shingle sets are one. Every
 document is compared with the smallest of each band it is in, and what is linked becomes one
@@ -22,6 +23,7 @@ another text are separate texts of one document id.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,26 +40,40 @@ from starmill.operators.matching import lookup
 
 SHINGLE = 5
 PERCENT = 85
-BANDS, DEPTH = 32, 6
+# The chance that a pair at the similarity asked for shares no band, and the coordinates that
+# deeper, more selective bands may take.
+MISSED, WIDTH, DEEPEST = 3e-7, 200, 8
 SIZE = 1 << 20
 
-_tables: list[np.ndarray] = []
+_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _permutations() -> tuple[np.ndarray, np.ndarray]:
+def layout(percent: int) -> tuple[int, int]:
+    """(bands, depth): the deepest bands that miss no more than MISSED within WIDTH."""
+    if percent >= 100:
+        return 1, DEEPEST
+    out = None
+    for depth in range(1, DEEPEST + 1):
+        bands = math.ceil(math.log(MISSED) / math.log1p(-((max(percent, 1) / 100) ** depth)))
+        if out is None or bands * depth <= WIDTH:
+            out = bands, depth
+    return out
+
+
+def _permutations(width: int) -> tuple[np.ndarray, np.ndarray]:
     """First permutation, and every run of the second one as rows of a strided view."""
-    if not _tables:
+    if width not in _tables:
         random = np.random.Generator(np.random.PCG64(20))
         first = random.permutation(SIZE).astype(np.int32)
         second = random.permutation(SIZE).astype(np.int32)
-        width = BANDS * DEPTH
         cyclic = np.concatenate([second, second[:width]])
-        _tables.extend([first, np.lib.stride_tricks.sliding_window_view(cyclic, width)])
-    return _tables[0], _tables[1]
+        _tables.clear()
+        _tables[width] = first, np.lib.stride_tricks.sliding_window_view(cyclic, width)
+    return _tables[width]
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    first, shifted = _permutations()
+def signature(shingles: np.ndarray, width: int) -> np.ndarray:
+    first, shifted = _permutations(width)
     at = first[(shingles & np.uint64(SIZE - 1)).astype(np.int64)]
     out = None
     for k in range(0, len(at), 2048):
@@ -82,33 +98,38 @@ def shingle_sets(words: Words, count: int) -> list[np.ndarray]:
     return out
 
 
-_weights = mix(np.arange(1, BANDS * DEPTH + 1, dtype=np.uint64) * ODD).reshape(BANDS, DEPTH)
 FEATURES = "_id bigint, _th int, _n bigint, _set bigint, _bands array<bigint>"
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches, "_text"):
-        words = Words(batch.column(batch.schema.get_field_index("_text")), lower=True)
-        sets = shingle_sets(words, batch.num_rows)
-        bands, sums = [], []
-        for shingles in sets:
-            sums.append(mix(shingles).sum(dtype=np.uint64))
-            if len(shingles):
-                parts = signature(shingles).astype(np.uint64).reshape(BANDS, DEPTH)
-                bands.append(signed(mix((parts * _weights + _weights).sum(axis=1, dtype=np.uint64))))
-            else:
-                bands.append(np.zeros(0, np.int64))
-        offsets = np.concatenate([[0], np.cumsum([len(b) for b in bands])]).astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(batch.schema.get_field_index("_id")),
-                batch.column(batch.schema.get_field_index("_th")),
-                pa.array(np.array([len(s) for s in sets], np.int64)),
-                pa.array(signed(np.array(sums, np.uint64))),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(bands))),
-            ],
-            ["_id", "_th", "_n", "_set", "_bands"],
-        )
+def _features(percent: int):
+    count, depth = layout(percent)
+    weights = mix(np.arange(1, count * depth + 1, dtype=np.uint64) * ODD).reshape(count, depth)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "_text"):
+            words = Words(batch.column(batch.schema.get_field_index("_text")), lower=True)
+            sets = shingle_sets(words, batch.num_rows)
+            bands, sums = [], []
+            for shingles in sets:
+                sums.append(mix(shingles).sum(dtype=np.uint64))
+                if len(shingles):
+                    parts = signature(shingles, count * depth).astype(np.uint64).reshape(count, depth)
+                    bands.append(signed(mix((parts * weights + weights).sum(axis=1, dtype=np.uint64))))
+                else:
+                    bands.append(np.zeros(0, np.int64))
+            offsets = np.concatenate([[0], np.cumsum([len(b) for b in bands])]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(batch.schema.get_field_index("_id")),
+                    batch.column(batch.schema.get_field_index("_th")),
+                    pa.array(np.array([len(s) for s in sets], np.int64)),
+                    pa.array(signed(np.array(sums, np.uint64))),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(bands))),
+                ],
+                ["_id", "_th", "_n", "_set", "_bands"],
+            )
+
+    return run
 
 
 def _linked(percent: int):
@@ -187,7 +208,7 @@ def _pairs_left(live: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs (u, v, c, d) of different components that may still be similar enough.
 
     Of a set's shingles, ordered from rare to frequent, a similar set must share one of the
-    first n - ceil(0.85 n) + 1, at a place from which enough are still to come in both.
+    first n - ceil(percent n / 100) + 1, at a place from which enough are still to come in both.
     So sets that are near the same text, but not near each other, meet in few rows.
     """
     sets = live.select("_rep", "n", "_c").distinct()
@@ -213,7 +234,7 @@ def _pairs_left(live: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 def classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(features per document, (_rep, component) of each set that is linked to another)."""
-    features = written(keyed(docs).mapInArrow(_features, FEATURES))
+    features = written(keyed(docs).mapInArrow(_features(percent), FEATURES))
     sets = (
         features.where("_n > 0")
         .groupBy("_set", "_n")

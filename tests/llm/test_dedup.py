@@ -169,3 +169,10 @@ def test_a_hot_key_sends_one_row_per_chunk_to_its_group():
     assert offered["_kind"].count(sieve.PROVEN) == 300
     assert offered["_kind"].count(sieve.SINGLE) == 300
     assert len(set(offered["_deal"])) == 601
+
+
+def test_bands_follow_the_similarity():
+    assert minhash_dedup.layout(85) == (32, 6)
+    for percent in (30, 50, 80, 85, 95):
+        bands, depth = minhash_dedup.layout(percent)
+        assert (1 - (percent / 100) ** depth) ** bands <= 3e-7

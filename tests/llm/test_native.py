@@ -196,3 +196,15 @@ def test_native_operators_run_no_python(session, documents):
     for frame in plans:
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Arrow|Pandas|ExistingRDD|Cartesian|NestedLoop", plan)
+
+
+def test_pipeline_drops_near_copies_below_the_default(session):
+    base = [f"w{k}" for k in range(205)]
+
+    def variant(*places):
+        return " ".join("new" if k in places else w for k, w in enumerate(base))
+
+    rows = [(1, variant()), (2, variant(20, 60, 100, 140)), (3, variant(10, 50, 90, 130, 170, 200))]
+    frame = session.createDataFrame(rows, "doc_id bigint, text string")
+    # 201 shingles each, 5 lost per changed word: (1, 2) at 181 / 221 = 0.82, (1, 3) at 0.75.
+    assert result(corpus_pipeline.keep_first_of_group(session, frame, FOLDER), "doc_id") == [(1,), (3,)]
