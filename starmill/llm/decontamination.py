@@ -1,7 +1,8 @@
 """Benchmark questions in documents, also with other numbers, names and units.
 
 Templates. In benchmark items and documents, numbers become <n>, unit words after a number
-<u>, and capitalised words inside a sentence <p>; the rest is lower-cased. Windows of five
+<u>, and capitalised words <p>, also at the start of a sentence, apart from a fixed list of
+function words; the rest is lower-cased. Windows of five
 template tokens are hashed and joined. An item is suspected in a document that holds at
 least 80 % of its windows; windows with fewer than two literal tokens do not count.
 
@@ -37,7 +38,16 @@ UNITS = """
 
 NUMBER = r"\p{N}+(?:[.,:/-]\p{N}+)*"
 UNIT = r"(?i)(?<=<n>\s?)(?:" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")(?![\p{L}\p{N}])"
-NAME = r"(?<![.!?:;\n]\s)(?<=\s)\p{Lu}[\p{L}'’-]+"
+# Capitalised words that begin sentences and are never names.
+FUNCTION_WORDS = """
+    The An This That These Those There Here It Its He She They We You His Her Their Our Your My
+    If When While Where Which Who Whom Whose Why What How As At By For From In Into Of On Onto
+    Over Under To With Without After Before Between During Since Until About And But Or Nor So
+    Then Thus Hence Also However Because Although Though Each Every Some Any All Both Either
+    Neither Many Much Most More Few Several Other Another Such No Not Now Only Is Are Was Were Be
+    Do Does Did Has Have Had Can Could Will Would Shall Should May Might Must Let
+""".split()
+NAME = r"(?<!\S)(?!(?:" + "|".join(FUNCTION_WORDS) + r")(?![\p{L}'’-]))\p{Lu}[\p{L}'’-]+"
 _BLANKS = r"[\x20\x09-\x0D]+"
 
 

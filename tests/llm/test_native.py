@@ -208,3 +208,17 @@ def test_pipeline_drops_near_copies_below_the_default(session):
     frame = session.createDataFrame(rows, "doc_id bigint, text string")
     # 201 shingles each, 5 lost per changed word: (1, 2) at 181 / 221 = 0.82, (1, 3) at 0.75.
     assert result(corpus_pipeline.keep_first_of_group(session, frame, FOLDER), "doc_id") == [(1,), (3,)]
+
+
+def found(session, item, *texts):
+    """Which texts hold the item, by number."""
+    docs = session.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    items = session.createDataFrame([(1, item)], "item_id bigint, text string")
+    return {r.doc_id for r in decontamination.report(docs, items).collect()}
+
+
+def test_names_at_sentence_starts(session):
+    item = "Sam has 5 apples and Tom has 3. Sam gives Tom 2 more apples today. How many apples has Sam now?"
+    other = item.replace("Sam", "Ann")
+    mixed = item.replace("Sam", "Ann", 1)
+    assert found(session, item, item, other, "Well then: " + other + " Yes", mixed, "so " + other) == {0, 1, 2, 4}
