@@ -7,8 +7,10 @@ template tokens are hashed and joined. An item is suspected in a document that h
 least 80 % of its windows; windows with fewer than two literal tokens do not count.
 
 Slots. Where the placeholders of an item meet a document's tokens along one alignment, every
-value of the item must meet one value and the other way round. Alignments that break this
-are chance meetings of a template and are dropped; the rest must still hold 80 %.
+value of the item must meet one value; units count as one in singular, plural and short form.
+Two names of an item must not meet one name, but new numbers and units may coincide.
+Alignments that break this are chance meetings of a template and are dropped; the rest must
+still hold 80 %. An item is met verbatim if no value differs in its raw form.
 
 NULL texts are empty. Items without five tokens, or without a window that counts, are never
 found. Items that repeat an id with another text are told apart by their text. Rows that
@@ -36,6 +38,12 @@ UNITS = """
     watts mph kmh
 """.split()
 
+# Units whose forms differ by more than a final s.
+FORMS = {
+    "inches": "inch", "feet": "foot", "g": "gram", "kg": "kilogram", "lb": "pound", "lbs": "pound",
+   "l": "liter", "litre": "liter", "litres": "liter",
+}
+
 NUMBER = r"\p{N}+(?:[.,:/-]\p{N}+)*"
 UNIT = r"(?i)(?<=<n>\s?)(?:" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")(?![\p{L}\p{N}])"
 # Capitalised words that begin sentences and are never names.
@@ -61,6 +69,15 @@ def _template(text: str) -> Column:
     return F.lower(F.regexp_replace(marked, NAME, "<p>"))
 
 
+def _value(kind: str, value: str) -> Column:
+    """A slot's value as it is compared: units in one form, others as they stand."""
+    unit = F.lower(value)
+    form = F.regexp_replace(unit, "s$", "")
+    for name, short in FORMS.items():
+        form = F.when(unit == name, short).otherwise(form)
+    return F.when(F.col(kind) == "<u>", form).otherwise(F.col(value))
+
+
 def _windows(tokens: str) -> Column:
     hashes = f"transform(sequence(1, size({tokens}) - {WINDOW - 1}), i -> xxhash64(slice({tokens}, i, {WINDOW})))"
     return F.when(F.size(tokens) >= WINDOW, F.expr(hashes)).otherwise(F.expr("cast(array() AS array<bigint>)"))
@@ -129,8 +146,10 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .distinct()
     )
     along = [*key, "_shift"]
-    forth = slots.groupBy(*along, "kind", "ours").agg(F.count("*").alias("_c")).where("_c > 1").select(*along)
-    back = slots.groupBy(*along, "kind", "theirs").agg(F.count("*").alias("_c")).where("_c > 1").select(*along)
+    values = slots.select(*along, "kind", _value("kind", "ours").alias("_o"), _value("kind", "theirs").alias("_t"))
+    split = lambda a, b: values.groupBy(*along, "kind", a).agg(F.min(b).alias("_least"), F.max(b).alias("_most"))
+    forth = split("_o", "_t").where("_least <> _most").select(*along)
+    back = split("_t", "_o").where("kind = '<p>' AND _least <> _most").select(*along)
     changed = slots.where("ours <> theirs").select(*along).distinct()
     broken = forth.union(back).distinct()
     on_shift = lambda a, b: on(a, b) & (F.col(f"{a}._shift") == F.col(f"{b}._shift"))

@@ -222,3 +222,17 @@ def test_names_at_sentence_starts(session):
     other = item.replace("Sam", "Ann")
     mixed = item.replace("Sam", "Ann", 1)
     assert found(session, item, item, other, "Well then: " + other + " Yes", mixed, "so " + other) == {0, 1, 2, 4}
+
+
+def test_new_values_may_coincide_and_units_change_form(session):
+    item = "Tom buys 3 apples and 4 pears at the market and then pays with his own coins for all of them"
+    same = item.replace("3", "5").replace("4", "5")
+    assert found(session, item, same) == {0}
+    # One value of the item must still meet one value.
+    assert found(session, same, same.replace("5", "3", 1)) == set()
+    item = "A bus waits for 1 hour at the first stop and then drives on for 5 hours until it reaches the coast"
+    other = item.replace("1", "3").replace("hour ", "hours ").replace("5", "7")
+    assert found(session, item, other) == {0} and found(session, other, item) == {0}
+    assert found(session, other, other.replace("hours", "days", 1)) == set()
+    people = "the shop pays Tom for the first day of work and then pays Sam for the second day of work as well"
+    assert found(session, people, people.replace("Tom", "Sam")) == set()
