@@ -236,3 +236,29 @@ def test_new_values_may_coincide_and_units_change_form(session):
     assert found(session, other, other.replace("hours", "days", 1)) == set()
     people = "the shop pays Tom for the first day of work and then pays Sam for the second day of work as well"
     assert found(session, people, people.replace("Tom", "Sam")) == set()
+
+
+def test_mixture_follows_weights_over_many_periods(session):
+    frame = session.range(9000).selectExpr("id AS doc_id", "concat('s', id % 3) AS source")
+    got = mixing.mix(frame, {f"s{k}": 1 / 3 for k in range(3)}, block=1).collect()
+    assert len({r.position for r in got}) == 9000
+    assert all(r.release <= r.slot < r.deadline for r in got)
+    assert max(r.slot for r in got) == 8999
+    assert deviation(got, {f"s{k}": 1000 / 3 for k in range(3)}, 1) < 2
+
+
+def test_weights_below_a_slot_of_a_period(session):
+    sizes = {"a": 6000, "b": 3000, "c": 3}
+    rows = [(10000 * k + n, s) for k, (s, size) in enumerate(sizes.items()) for n in range(size)]
+    weights = {"a": 0.6667, "b": 0.333, "c": 0.0003}
+    got = mixing.mix(session.createDataFrame(rows, "doc_id bigint, source string"), weights, block=1).collect()
+    assert len(got) == len({r.position for r in got}) == len(rows)
+    assert all(r.release <= r.slot < r.deadline for r in got)
+    assert deviation(got, {s: 1000 * w for s, w in weights.items()}, 1) < 2
+
+
+def test_more_sources_than_a_period_had_room_for(session):
+    frame = session.range(2400).selectExpr("id AS doc_id", "concat('s', id % 600) AS source")
+    got = mixing.mix(frame, block=1).collect()
+    assert len(got) == len({r.position for r in got}) == 2400
+    assert all(r.release <= r.slot < r.deadline for r in got)
