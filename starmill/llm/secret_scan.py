@@ -8,7 +8,10 @@ Ownership. The hash of every value is counted over the corpus by distinct reposi
 owners. A value that more than ``MAX_OWNERS`` owners carry is a copied example. One of a
 single owner or two that looks live (long enough, letters and digits, many different
 characters, no word for an example) is a credential; where it stands bare in some text,
-outside any span found by pattern, that place is added as a span of kind ``live``.
+outside any span found by pattern, that place is added as a span of kind ``live``. Inside a
+run of value characters, as in NAME=value, a URL or a file name, it may begin and end at
+any character that is not a letter or digit. A run's parts meet the first parts of known
+values, and where these agree the hash of the whole value decides.
 
 NULL texts are empty. A NULL owner or repository counts as one of its own. Rows that repeat
 doc_id and text count once.
@@ -33,9 +36,10 @@ KINDS = (
     ("hex", r"[0-9a-f]{24,}", 0, 24),
 )
 BARE = r"(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/_.=-]*+[0-9])[A-Za-z0-9+/_.=-]{16,}+"
+PART = "[A-Za-z0-9]+"
 EXAMPLE = r"(?i)example|sample|dummy|placeholder|change.?me|your|xxxx|test|1234567|abcdef"
 MAX_OWNERS = 2
-# Documents with secrets whose spans may be broadcast, some hundred bytes each.
+# Documents with secrets whose spans may be broadcast, and known values, some hundred bytes each.
 BROADCAST_SPANS = 200_000
 LEAST_LIVE, LEAST_CHARACTERS = 16, 8
 
@@ -85,7 +89,8 @@ def _trimmed(value: str) -> Column:
 
 
 def ownership(scanned: DataFrame) -> DataFrame:
-    """Per value hash: n_documents, n_repositories, n_owners, live."""
+    """Per value hash: n_documents, n_repositories, n_owners, live, and how to find it in a run:
+    _head (hash of its first part), _lead (characters before that), _length."""
     value = _trimmed("_s.value")
     rows = scanned.select("_id", "_th", "_owner", "_repository", F.explode("_base").alias("_s"))
     rows = rows.select("_id", "_th", "_owner", "_repository", F.sha2(value, 256).alias("_hash"), (
@@ -94,21 +99,48 @@ def ownership(scanned: DataFrame) -> DataFrame:
         & value.rlike("[A-Za-z]")
         & ~value.rlike(EXAMPLE)
         & (F.size(F.array_distinct(F.split(value, ""))) >= LEAST_CHARACTERS)
-    ).alias("_live"))
+    ).alias("_live"), F.struct(
+        F.xxhash64(F.regexp_extract(value, PART, 0)).alias("_head"),
+        F.length(F.regexp_extract(value, "^[^A-Za-z0-9]*", 0)).alias("_lead"),
+        F.length(value).alias("_length"),
+    ).alias("_place"))
     # Counted level by level: each grouping has a map-side part, so a value in a third of
     # all documents is thousands of partial rows, not one group.
-    marks = F.max("_live").alias("_live")
-    per_doc = rows.groupBy("_hash", "_owner", "_repository", "_id", "_th").agg(marks)
-    per_repository = per_doc.groupBy("_hash", "_owner", "_repository").agg(F.count("*").alias("_n"), marks)
+    marks = F.max("_live").alias("_live"), F.max("_place").alias("_place")
+    per_doc = rows.groupBy("_hash", "_owner", "_repository", "_id", "_th").agg(*marks)
+    per_repository = per_doc.groupBy("_hash", "_owner", "_repository").agg(F.count("*").alias("_n"), *marks)
     per_owner = per_repository.groupBy("_hash", "_owner").agg(
-        F.sum("_n").alias("_n"), F.count("*").alias("_r"), marks
+        F.sum("_n").alias("_n"), F.count("*").alias("_r"), *marks
     )
     return per_owner.groupBy("_hash").agg(
         F.sum("_n").alias("n_documents"),
         F.sum("_r").alias("n_repositories"),
         F.count("*").alias("n_owners"),
-        F.max("_live").alias("_live"),
+        *marks,
+    ).select("*", "_place.*").drop("_place")
+
+
+def _extra(scanned: DataFrame, known: DataFrame) -> DataFrame:
+    """(_id, _th, _place): known live values in bare runs, outside all spans found by pattern."""
+    live = small_or_shuffled(
+        written(known.where("_class = 'live'").select("_hash", "_head", "_lead", "_length")), BROADCAST_SPANS
+    )
+    runs = scanned.select("_id", "_th", "_base", F.explode("_bare").alias("_s"))
+    runs = runs.select("*", F.col("_s.value").alias("_run"))
+    parts = runs.select("*", F.explode(_matches("_run", PART, 0, 1, 0)).alias("_p"))
+    met = parts.withColumn("_head", F.xxhash64("_p.value")).join(live, "_head")
+    met = met.withColumn("_at", F.col("_p.start") - F.col("_lead"))
+    value, after = F.expr("substring(_run, _at + 1, _length)"), F.expr("substring(_run, _at + _length + 1, 1)")
+    whole = (F.col("_at") >= 0) & ~after.rlike(PART) & (F.sha2(value, 256) == F.col("_hash"))
+    start = F.col("_s.start") + F.col("_at")
+    span = F.struct(
+        start.alias("start"), F.lit(len(KINDS)).alias("kind"), (start + F.col("_length")).alias("end"), value.alias("value")
     )
+    placed = met.where(whole).select("_id", "_th", "_base", span.alias("_place"))
+    outside = ~F.exists(
+        "_base", lambda b: (b["start"] < F.col("_place.end")) & (F.col("_place.start") < b["end"])
+    )
+    return placed.where(outside).select("_id", "_th", "_place").distinct()
 
 
 def find(docs: DataFrame, owner: Column | None = None, repository: Column | None = None) -> DataFrame:
@@ -119,26 +151,20 @@ def find(docs: DataFrame, owner: Column | None = None, repository: Column | None
     owner = F.col("source") if owner is None else owner
     repository = F.concat_ws("/", "source", "lang") if repository is None else repository
     scanned = written(scan(docs, owner, repository))
-    known = ownership(scanned).select(
-        "_hash",
+    known = written(ownership(scanned).select(
+        "_hash", "_head", "_lead", "_length",
         F.when(F.col("n_owners") > MAX_OWNERS, "copied").when(F.col("_live"), "live").alias("_class"),
-    ).where("_class is not null")
+    ).where("_class is not null"))
     base = scanned.select("_id", "_th", F.explode("_base").alias("_s")).distinct()
-    bare = scanned.select("_id", "_th", "_base", F.explode("_bare").alias("_s")).distinct()
-    # Only places outside all spans found by pattern can be added.
-    outside = ~F.exists("_base", lambda b: (b["start"] < F.col("_s.end")) & (F.col("_s.start") < b["end"]))
-    both = base.select("_id", "_th", "_s", F.lit(False).alias("_extra")).union(
-        bare.where(outside).select("_id", "_th", "_s", F.lit(True))
+    classed = base.withColumn("_hash", F.sha2(_trimmed("_s.value"), 256)).join(known, "_hash")
+    place = _extra(scanned, known)
+    both = classed.select("_id", "_th", "_class", F.lit(None).cast(_SPAN).alias("_place")).union(
+        place.select("_id", "_th", F.lit("live"), "_place")
     )
-    value = _trimmed("_s.value")
-    both = both.withColumn("_hash", F.sha2(value, 256)).withColumn("_length", F.length(value))
-    classed = both.join(known, "_hash")
-    kind, start = F.lit(len(KINDS)), F.col("_s.start")
-    place = F.struct(start.alias("start"), kind.alias("kind"), (start + F.col("_length")).alias("end"), F.col("_s.value").alias("value"))
-    per_document = classed.groupBy("_id", "_th").agg(
-        F.collect_list(F.when(F.col("_extra") & (F.col("_class") == "live"), place)).alias("_added"),
+    per_document = both.groupBy("_id", "_th").agg(
+        F.collect_list("_place").alias("_added"),
         F.count(F.when(F.col("_class") == "live", 1)).alias("n_live"),
-        F.count(F.when((F.col("_class") == "copied") & ~F.col("_extra"), 1)).alias("n_copied"),
+        F.count(F.when(F.col("_class") == "copied", 1)).alias("n_copied"),
     )
     return scanned.select("_id", "_th", "_base").join(per_document, ["_id", "_th"], "left").select(
         "_id", "_th", "_base",

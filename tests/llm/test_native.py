@@ -262,3 +262,25 @@ def test_more_sources_than_a_period_had_room_for(session):
     got = mixing.mix(frame, block=1).collect()
     assert len(got) == len({r.position for r in got}) == 2400
     assert all(r.release <= r.slot < r.deadline for r in got)
+
+
+def test_known_values_inside_longer_runs(session):
+    value, padded = "Zk3vQ9xLm2Rt8WyBc4", "/Ab3-dE6_gH9+jK2/mN5="
+    contexts = [
+        "AUTH={} end", "https://host/{}/a", "see https://host/x?k={}&z=1", "file {}.txt", "a.b={}.c", "X-{}-y", "{}",
+        "{}extra", "extra{}", "pwd/{}/{}",
+    ]
+    rows = [(1, f"password = {value}", "s1"), (2, f"password = {padded}", "s1")]
+    rows += [(10 + k, c.replace("{}", value), "s2") for k, c in enumerate(contexts)]
+    rows += [(30, f"at Q={padded} or host{padded}.txt", "s2"), (31, f"secret=abcdefgh AUTH={value}", "s2")]
+    frame = session.createDataFrame(rows, "doc_id bigint, text string, source string")
+    frame = frame.selectExpr("*", "'en' AS lang", "cast(length(text) AS bigint) AS n_chars")
+    spans = {r.doc_id: r.spans for r in secret_scan.report(frame).collect()}
+    texts = {r.doc_id: r.text for r in secret_scan.masked(frame).collect()}
+    for k, c in enumerate(contexts):
+        inside = "extra" not in c
+        assert texts[10 + k] == (c.replace("{}", "<SECRET>") if inside else c.replace("{}", value))
+        at = c.index("{}")
+        assert spans[10 + k].startswith(f"live:{at}:{at + 18}") == inside
+    assert texts[30] == "at Q=<SECRET>= or host<SECRET>=.txt"
+    assert texts[31] == "<SECRET> AUTH=<SECRET>"
