@@ -6,6 +6,8 @@ of 7, whose patterns look behind. Those are tested against brute force or held-o
 
 from __future__ import annotations
 
+from starmill.llm.conversation_sql import REPAIR, TRIE
+
 _WORDS = r"""list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"""
 
 # Runs of removed starts of a fixed size, merged where they touch, and what is left between.
@@ -172,10 +174,20 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
        coalesce(n_copied, 0) AS n_copied
 FROM d LEFT JOIN listed USING (doc_id) LEFT JOIN judged USING (doc_id) LEFT JOIN extra USING (doc_id)"""
 
+PAGES = """
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN size >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN size >= 1000 AND page_id < top THEN top END AS refers_to
+FROM (SELECT page_id, html, strlen(html) AS size, max(page_id) OVER (PARTITION BY html) AS top
+      FROM (SELECT page_id, coalesce(html, '') AS html FROM pages))"""
+
 SQL = {
     "op1_suffix_array_dedup": SUFFIX,
     "op3_secret_scan": SECRETS,
     "op4_substring_dedup": SUBSTRING,
     "op5_mixing": MIXING,
     "op8_minhash_dedup": NEAR,
+    "op11_conversation_trie": TRIE,
+    "op12_conversation_repair": REPAIR,
+    "op13_warc": PAGES,
 }

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starmill.llm import (
+    conversation_repair,
+    conversation_trie,
     decontamination,
     lm_scoring,
     minhash_dedup,
@@ -17,6 +19,7 @@ from starmill.llm import (
     substring_dedup,
     suffix_dedup,
     toxicity,
+    warc,
 )
 from starmill.llm.common import importable, read
 from starmill.llm.oracles import SQL  # noqa: F401
@@ -66,6 +69,20 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.train_and_score(read(importable(spark), sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(importable(spark), sf_dir, "conversations")
+    return conversation_trie.nodes(conversation_trie.grafted(conversation_trie.sequences(turns)))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(importable(spark), sf_dir, "conversations")
+    return conversation_repair.report(conversation_repair.damage(turns), turns)
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(importable(spark), sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -79,6 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_minhash_dedup,
         op9_quality_rules,
         op10_lm_scoring,
+        op11_conversation_trie,
+        op12_conversation_repair,
+        op13_warc,
     )
 }
 

@@ -17,7 +17,8 @@ def test_query_equals_sql(session, name):
     columns = sorted(result.columns)
     ours = sorted((tuple(r[c] for c in columns) for r in result.collect()), key=str)
     engine = duckdb.connect()
-    engine.sql(f"CREATE VIEW documents AS FROM '{folder}/documents.parquet'")
+    for table in ("documents", "conversations", "pages"):
+        engine.sql(f"CREATE VIEW {table} AS FROM '{folder}/{table}.parquet'")
     relation = engine.sql(SQL[name])
     assert columns == sorted(relation.columns)
     places = [relation.columns.index(c) for c in columns]
