@@ -164,6 +164,13 @@ TABLES = {
         JOIN valid_orders o ON p.order_id = o.order_id
         JOIN dim_customers c ON o.customer_id = c.customer_id
         LEFT JOIN dim_date d ON CAST(o.order_purchase_timestamp AS DATE) = d.date""",
+    "customers_in_loads": """
+        SELECT row_number() OVER (
+                   ORDER BY customer_id IN (SELECT customer_id FROM raw_orders
+                                            WHERE order_purchase_timestamp < DATE '1998-01-01') DESC,
+                            customer_id) AS customer_sk,
+               * EXCLUDE (customer_sk)
+        FROM dim_customers""",
     "item_sales": """
         SELECT i.order_id, i.product_id, o.customer_id, o.order_purchase_timestamp,
                i.price + i.freight_value AS total_price
@@ -347,6 +354,19 @@ BODIES = {
             SELECT * REPLACE ('Z' AS order_status) FROM raw_orders
             WHERE CAST(order_id AS BIGINT) % 3 = 0)
         QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY order_status) = 1""",
+    "dimensions_from_repeats": """
+        SELECT 'dim_customers' AS table_name, customer_sk AS sk, customer_id AS id,
+               CAST(CASE WHEN CAST(customer_id AS BIGINT) % 3 = 0 THEN 'A' ELSE customer_city END AS VARCHAR)
+                   AS attribute
+        FROM dim_customers
+        UNION ALL SELECT 'dim_sellers' AS table_name, seller_sk AS sk, seller_id AS id,
+               CAST(CASE WHEN CAST(seller_id AS BIGINT) % 3 = 0 THEN 'A' ELSE seller_city END AS VARCHAR)
+                   AS attribute
+        FROM dim_sellers
+        UNION ALL SELECT 'dim_products' AS table_name, product_sk AS sk, product_id AS id,
+               CAST(CASE WHEN CAST(product_id AS BIGINT) % 3 = 0 THEN product_photos_qty - 1 ELSE product_photos_qty END AS VARCHAR)
+                   AS attribute
+        FROM dim_products""",
     "unreadable_numbers": """
         SELECT * REPLACE (CASE WHEN order_item_id NOT IN ('3', '5') THEN price END AS price)
         FROM raw_items""",
@@ -394,6 +414,15 @@ BODIES = {
                order_approved_date_sk, shipping_limit_date_sk, delivered_carrier_date_sk,
                delivered_customer_date_sk, estimated_delivery_date_sk
         FROM lifecycle""",
+    "dim_customers_incremental": "SELECT * FROM customers_in_loads",
+    "fact_payments_incremental": """
+        SELECT row_number() OVER (ORDER BY payment_timestamp >= DATE '1998-01-01', order_id,
+                                           payment_sequential) AS payment_sk,
+               order_id, CAST(payment_sequential AS INTEGER) AS payment_sequential, payment_type,
+               payment_installments, payment_value, n.customer_sk,
+               payment_date_sk, payment_timestamp
+        FROM fact_orderpayments f JOIN dim_customers c ON f.customer_sk = c.customer_sk
+        JOIN customers_in_loads n ON n.customer_id = c.customer_id""",
     "conform_fact_payments": """
         SELECT * REPLACE (CAST(payment_sk AS INTEGER) AS payment_sk,
                           CAST(payment_sequential AS INTEGER) AS payment_sequential,

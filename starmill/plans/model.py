@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import itertools
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -19,7 +21,7 @@ from starmill.functions.calendar import (
 )
 from starmill.functions.casts import typed
 from starmill.operators.dedup import require
-from starmill.operators.keys import surrogate_key
+from starmill.operators.keys import SAMPLED, Ranges, range_count, spread_key, surrogate_key
 from starmill.operators.matching import keep_matching, lookup, wanted_orders
 from starmill.plans.integrity import GEO_ZIP
 from starmill.staging import new_folder, release_staged, stage
@@ -48,11 +50,24 @@ def review_links(orders: DataFrame, reviews: DataFrame, *named: str) -> DataFram
     return linked.unionByName(silent, allowMissingColumns=True)
 
 
+def numbered_items(items: DataFrame) -> DataFrame:
+    """Items with their number as a number, and its text as ``item_text``."""
+    return items.withColumn("item_text", F.col("order_item_id")).transform(typed, order_item_id="bigint")
+
+
+def numbered_payments(payments: DataFrame) -> DataFrame:
+    """Payments with their number as a number, and its text as ``sequential_text``."""
+    return payments.withColumn("sequential_text", F.col("payment_sequential")).transform(
+        typed, payment_sequential="bigint"
+    )
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Warehouse tables over clean tables; each is built when first asked for.
 
-    Tables that others refer to are staged, so that all agree on their keys. The tables may
+    Tables that others refer to are staged, so that all agree on their keys; facts are not,
+    their keys follow from cuts that are fixed beforehand. The tables may
     be clean or already enforced: the joins below drop the same rows as enforcement.
 
     ``closed`` says whether the date spine includes the first purchase day (``both``) or
@@ -83,13 +98,44 @@ class Warehouse:
             return df.select(F.col(natural).alias(name), "*")
         return surrogate_key(df, name, [natural], method=self.key_method, folder=self.folder)
 
-    def _numbered(self, df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
-        """``df`` with the key of a fact table, reduced to that table's columns."""
+    def _numbered(
+        self,
+        df: DataFrame,
+        table: str,
+        keys: Sequence[str],
+        source: DataFrame,
+        widen: Callable[[DataFrame], DataFrame] = lambda sample: sample,
+    ) -> DataFrame:
+        """``df`` with the key of a fact table, reduced to that table's columns.
+
+        ``source`` is a cheap frame of about as many rows that has some of the leading
+        ``keys``; ``widen`` brings a sample of it closer to how keys are distributed in ``df``.
+        """
         name, *wanted = schemas.columns(table)
         if self.key_method == "natural":
             raise ValueError(f"{table} needs numbered keys")
         keep = [c for c in wanted if c in df.columns]
-        return surrogate_key(df, name, keys, keep, self.key_method, self.folder)
+        if self.key_method != "ranged":
+            return surrogate_key(df, name, keys, keep, self.key_method)
+        spark = df.sparkSession
+        rows = source.count()
+        count = range_count(spark, rows)
+        few = source.sample(min(1.0, SAMPLED * count / max(rows, 1)), seed=1)
+        sample = widen(few)
+        leading = list(itertools.takewhile(sample.columns.__contains__, keys))
+        ranges = Ranges.of(sample, leading, count, self.folder)
+        numbered, self._sizes[table] = spread_key(df, name, keys, ranges, keep, self.folder)
+        return numbered
+
+    @cached_property
+    def _sizes(self) -> dict[str, int]:
+        """Rows of the fact tables that have been numbered."""
+        return {}
+
+    def size(self, name: str) -> int:
+        """How many rows a table has; a numbered fact knows without being computed again."""
+        table = self.table(name)
+        return self._sizes[name] if name in self._sizes else table.count()
 
     def _entity(self, df: DataFrame, table: str, **renamed: str) -> DataFrame:
         sk, natural = schemas.PRIMARY_KEY[table], schemas.UNIQUE_KEY[table]
@@ -166,10 +212,7 @@ class Warehouse:
         sellers = self.dim_sellers.select("seller_id", "seller_sk", *seller)
         items = self.tables["order_items"] if items is None else items
         items = lookup(items, "product_id", products)
-        joined = lookup(lookup(items, "seller_id", sellers), "order_id", *tables)
-        return joined.withColumn("item_text", F.col("order_item_id")).transform(
-            typed, order_item_id="bigint"
-        )
+        return numbered_items(lookup(lookup(items, "seller_id", sellers), "order_id", *tables))
 
     @cached_property
     def item_rows(self) -> DataFrame:
@@ -215,10 +258,11 @@ class Warehouse:
             }
         )
 
+    def _dated(self, df: DataFrame, days: Mapping[str, str]) -> DataFrame:
+        return add_date_keys(df, dict(days), self.date_bounds, self.closed)
+
     def _lifecycle(self, items: DataFrame) -> DataFrame:
-        dated = add_date_keys(
-            event_dates(items), LIFECYCLE_DATE_KEYS, self.date_bounds, self.closed
-        )
+        dated = self._dated(event_dates(items), LIFECYCLE_DATE_KEYS)
         return dated.withColumn("total_price", F.col("price") + F.col("freight_value"))
 
     @cached_property
@@ -228,13 +272,24 @@ class Warehouse:
 
     @cached_property
     def fact_orderlifecycle(self) -> DataFrame:
+        return self._number_items(self.item_rows)
+
+    def _number_items(self, rows: DataFrame) -> DataFrame:
         numeric = [] if self.text_item_order else ["order_item_id"]
         # review_sk orders like review_id. What follows it only matters where an item
         # number repeats in an order.
         keys = ["order_id", *numeric, "item_text", "review_sk", "product_sk", "seller_sk"]
         keys += ["shipping_limit_date", "price", "freight_value"]
+
+        items = numbered_items(self.tables["order_items"]).select("order_id", *numeric, "item_text")
+
+        def reviewed(sample: DataFrame) -> DataFrame:
+            # An order with many reviews has its items many times.
+            return sample.join(self.reviews.select("order_id", "review_sk"), "order_id", "left")
+
         # Date keys and the total are derived after the numbering, so they are not shuffled.
-        return self._lifecycle(self._numbered(self.item_rows, "fact_orderlifecycle", keys))
+        rows = self._numbered(rows, "fact_orderlifecycle", keys, items, reviewed)
+        return self._lifecycle(rows)
 
     @cached_property
     def order_payments(self) -> DataFrame:
@@ -242,16 +297,11 @@ class Warehouse:
         orders = self.orders.select(
             "order_id", "customer_sk", F.col("order_purchase_timestamp").alias("payment_timestamp")
         )
-        joined = lookup(self.tables["payments"], "order_id", orders)
-        return joined.withColumn("sequential_text", F.col("payment_sequential")).transform(
-            typed, payment_sequential="bigint"
-        )
+        return numbered_payments(lookup(self.tables["payments"], "order_id", orders))
 
     def _payments(self, payments: DataFrame) -> DataFrame:
         days = payments.withColumn("payment_day", F.to_date("payment_timestamp"))
-        return add_date_keys(
-            days, {"payment_date_sk": "payment_day"}, self.date_bounds, self.closed
-        )
+        return self._dated(days, {"payment_date_sk": "payment_day"})
 
     @cached_property
     def payment_rows(self) -> DataFrame:
@@ -260,8 +310,13 @@ class Warehouse:
 
     @cached_property
     def fact_orderpayments(self) -> DataFrame:
+        return self._number_payments(self.order_payments)
+
+    def _number_payments(self, rows: DataFrame) -> DataFrame:
         keys = ["order_id", "payment_sequential", "sequential_text"]
-        return self._payments(self._numbered(self.order_payments, "fact_orderpayments", keys))
+
+        source = numbered_payments(self.tables["payments"].select("order_id", "payment_sequential"))
+        return self._payments(self._numbered(rows, "fact_orderpayments", keys, source))
 
     def table(self, name: str) -> DataFrame:
         """A warehouse table by its declared name, surrogate keys as bigint."""
@@ -269,5 +324,20 @@ class Warehouse:
             raise KeyError(name)
         return getattr(self, name).select(*schemas.columns(name))
 
+    def prepare(self, names: Sequence[str] = tuple(schemas.TABLES)) -> None:
+        """Build tables and stage what they share; independent ones at the same time."""
+        self.folder, self._sizes  # made here, not by whichever table asks first
+        entities = ["dim_customers", "dim_sellers", "dim_products"]
+        facts = [t for t in ("fact_orderlifecycle", "fact_orderpayments") if t in names]
+        if "fact_orderlifecycle" not in names:
+            entities = [t for t in entities if t in names or (facts and t == "dim_customers")]
+        with ThreadPoolExecutor(4) as pool:
+            list(pool.map(self.table, entities))
+            if {"dim_reviews", "fact_orderlifecycle"} & set(names):
+                self.reviews
+            if {"dim_date", *facts} & set(names):
+                self.dim_date
+            list(pool.map(self.table, facts))
+
     def all_tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in schemas.TABLES}

@@ -64,6 +64,21 @@ def repeated_orders(orders: DataFrame) -> DataFrame:
     return orders.unionByName(again)
 
 
+# Key and changed attribute of tables whose entities are repeated for a test.
+REPEATS = {
+    "customers": ("customer_id", "customer_city"),
+    "sellers": ("seller_id", "seller_city"),
+    "products": ("product_id", "product_photos_qty"),
+}
+
+
+def repeated(df: DataFrame, key: str, attribute: str) -> DataFrame:
+    """Every row whose key divides by 3 twice more: as it is, and with a smaller attribute."""
+    again = df.where(F.col(key).cast("bigint") % 3 == 0)
+    smaller = F.lit("A") if dict(df.dtypes)[attribute] == "string" else F.col(attribute) - 1
+    return df.unionByName(again).unionByName(again.withColumn(attribute, smaller))
+
+
 def unreadable_items(items: DataFrame) -> DataFrame:
     """Item prices as text that is a number, a word, or empty."""
     price = (

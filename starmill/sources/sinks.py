@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -48,7 +49,7 @@ def write_jdbc(
 
 def needs_wide_keys(warehouse: Warehouse) -> bool:
     """Does any table have more rows than the declared INT keys can number?"""
-    return any(warehouse.table(name).count() > schemas.INT_MAX for name in schemas.TABLES)
+    return any(warehouse.size(name) > schemas.INT_MAX for name in schemas.TABLES)
 
 
 def write_warehouse(
@@ -61,7 +62,8 @@ def write_warehouse(
     release: bool = False,
     connections: int = CONNECTIONS,
 ) -> None:
-    """Load all tables in declared order, so that every parent precedes its children.
+    """Load all tables: Parquet folders at the same time, database tables in declared order,
+    so that every parent precedes its children.
 
     ``wide_keys`` keeps surrogate keys as bigint instead of the declared INT. If not given,
     it follows from the tables' row counts, which are taken before anything is written.
@@ -70,14 +72,19 @@ def write_warehouse(
     if format not in ("parquet", "jdbc"):
         raise ValueError(f"unknown format {format!r}")
     try:
+        warehouse.prepare()
         if wide_keys is None:
             wide_keys = needs_wide_keys(warehouse)
-        for name in schemas.TABLES:
+
+        def write(name: str) -> None:
             df = schemas.conform(warehouse.table(name), name, wide_keys)
             if format == "parquet":
                 write_parquet(df, target, name, mode)
             else:
                 write_jdbc(df, target, name, mode, properties, connections)
+
+        with ThreadPoolExecutor(len(schemas.TABLES) if format == "parquet" else 1) as pool:
+            list(pool.map(write, schemas.TABLES))
     finally:
         if release:
             warehouse.release()

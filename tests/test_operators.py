@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from starmill.functions.casts import as_text, typed
 from starmill.operators.dedup import keep_one, require
-from starmill.operators.keys import surrogate_key
+from starmill.operators import keys as key_rules
+from starmill.operators.keys import Ranges, spread_key, surrogate_key
 from starmill.operators.matching import keep_matching, orphan_keys
 
 
@@ -121,3 +122,47 @@ def test_text_and_numeric_order(spark):
     by_number = surrogate_key(df, "sk", ["n"]).orderBy("sk")
     assert [r.t for r in by_text.collect()] == ["1", "10", "2"]
     assert [r.t for r in by_number.collect()] == ["1", "2", "10"]
+
+
+def ordered(spark, rows=20_000):
+    """Rows with NULL, repeated and hot leading keys."""
+    lead = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 11 > 0, (F.col("id") * 7919 % 997).cast("string"))
+    return spark.range(rows).select(lead.alias("k"), (F.col("id") % 13).alias("n"), F.col("id").alias("w"))
+
+
+@pytest.mark.parametrize("count", [1, 2, 7, 200])
+def test_spread_keys_equal_one_window(spark, count):
+    df = ordered(spark)
+    ranges = Ranges.of(df, ["k", "n"], count)
+    assert count // 2 < ranges.count <= count
+    found, total = spread_key(df, "sk", ["k", "n", "w"], ranges, keep=["w"], first=5)
+    expected = surrogate_key(df, "sk", ["k", "n", "w"], ["w"], method="global").withColumn("sk", F.col("sk") + 4)
+    assert total == 20_000
+    assert found.exceptAll(expected).count() == 0 and expected.exceptAll(found).count() == 0
+
+
+def test_spread_keys_do_not_sample_or_stage_the_rows(spark, monkeypatch):
+    """Ranges are fixed beforehand, and only counts are written."""
+    staged = []
+    write = key_rules.stage
+    monkeypatch.setattr(key_rules, "stage", lambda df, *more: staged.append(df.columns) or write(df, *more))
+    df = ordered(spark)
+    found, _ = spread_key(df, "sk", ["k", "n", "w"], Ranges.of(df.select("k"), ["k"], 6))
+    assert staged == [["k"], ["_range", "_rows"]]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and plan.count("REPARTITION_BY_NUM") == 1
+    # A hot leading key makes a large range, never wrong keys.
+    assert found.select("sk").distinct().count() == 20_000
+
+
+def test_spread_keys_of_nothing(spark):
+    df = ordered(spark).where("w < 0")
+    found, total = spread_key(df, "sk", ["k", "w"], Ranges.of(df, ["k"], 4))
+    assert found.collect() == [] and total == 0
+
+
+def test_number_of_ranges(spark, monkeypatch):
+    assert key_rules.range_count(spark, 0) == key_rules.range_count(spark, 100) == 1
+    assert key_rules.range_count(spark, 10**12) == key_rules.MOST_RANGES
+    monkeypatch.setattr(key_rules, "RANGE_ROWS", 1000)
+    assert key_rules.range_count(spark, 50_000) == 50
