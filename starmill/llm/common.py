@@ -1,13 +1,15 @@
 """What several operators share: document keys, staged tables, vectorised text scanning.
 
-A document is a row. ``_id`` is its doc_id, with NULL counted as the smallest id; ``_th``
-tells rows apart that repeat an id with another text. Rows that repeat both are one
-document, and each of them is returned with the same result. A NULL text is empty.
+A document is a row. ``_id`` is its doc_id, with NULL counted as the smallest id. Rows that
+repeat an id with another text are told apart by a digest of the text (``_th``, 128 bits), or
+by a number that no other document has (``_doc``). Rows that repeat both are one document,
+and each of them is returned with the same result. A NULL text is empty.
 """
 
 from __future__ import annotations
 
 import gc
+import hashlib
 import os
 import tempfile
 import time
@@ -25,6 +27,8 @@ BLANKS = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 # Text scanned at once inside a task, in bytes. A longer document is scanned whole.
 CHUNK = 1 << 20
+# Longer words, in bytes, get a cryptographic hash.
+LONG_WORD = 128
 # An odd factor, for spreading consecutive numbers over 64 bits.
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -50,10 +54,45 @@ def row_id() -> Column:
     return F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID))
 
 
+def text_key() -> Column:
+    """128 bits that tell texts apart."""
+    return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """(_id, _th, _text); every consumer uses just these, so Spark can reuse their shuffle."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(row_id().alias("_id"), F.hash(text).alias("_th"), text.alias("_text"))
+    return docs.select(row_id().alias("_id"), text_key().alias("_th"), text.alias("_text"))
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Twice (_id, _doc, _text): all rows, and one row for each document.
+
+    ``_doc`` is the id itself where an id has one row, which is told by the ids alone. For the
+    rows of a repeated id it is a hash of id and text, and that it meets no other document is
+    checked, not assumed.
+    """
+    ids = docs.select(row_id().alias("_id"))
+    several = written(ids.groupBy("_id").count().where("count > 1").select("_id"))
+    if several.isEmpty():
+        text = F.coalesce(F.col("text"), F.lit("")).alias("_text")
+        plain = docs.select(row_id().alias("_id"), row_id().alias("_doc"), text)
+        return plain, plain
+    several = small_or_shuffled(several)
+    repeated = keyed(docs).select("_id", "_th").join(several, "_id", "left_semi").distinct()
+    single = ids.join(several, "_id", "left_anti").withColumnRenamed("_id", "_doc")
+    for seed in range(100):
+        names = written(repeated.withColumn("_doc", F.xxhash64(F.lit(seed), "_id", "_th")))
+        taken = single.join(names.select("_doc"), "_doc", "left_semi")
+        if names.select("_doc").distinct().count() == names.count() and taken.isEmpty():
+            break
+    else:
+        raise ValueError("no free numbers for rows that repeat an id")
+    known = keyed(docs).join(small_or_shuffled(names), ["_id", "_th"], "left")
+    every = known.select("_id", F.coalesce("_doc", "_id").alias("_doc"), "_text", F.col("_doc").isNull().alias("_own"))
+    copies = every.where(~F.col("_own")).groupBy("_doc").agg(F.first("_id").alias("_id"), F.first("_text").alias("_text"))
+    once = every.where("_own").drop("_own").unionByName(copies)
+    return every.drop("_own"), once
 
 
 def shown_id(column: str = "_id") -> Column:
@@ -201,6 +240,11 @@ class Words:
         self.ends = np.flatnonzero(stops) + 1
         self.rows = np.searchsorted(at, self.starts, "right") - 1
         self.hashes = span_hashes(prefix_hashes(data, lower), self.starts, self.ends)
+        # Texts can be made whose sums of powers agree over a thousand bytes or more.
+        for k in np.flatnonzero(self.ends - self.starts > LONG_WORD):
+            word = data[self.starts[k] : self.ends[k]]
+            digest = hashlib.blake2b((_fold[word] if lower else word).tobytes(), digest_size=8).digest()
+            self.hashes[k] = np.frombuffer(digest, np.uint64)[0] | np.uint64(1 << 63)
         self.ranges = np.searchsorted(self.rows, np.arange(len(at)), "left")
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.common import written
+from starmill.operators.matching import lookup
 
 
 def _star(links: DataFrame, small: bool) -> DataFrame:
@@ -17,7 +18,7 @@ def _star(links: DataFrame, small: bool) -> DataFrame:
     if small:
         both = both.where("v < u")
     least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    joined = both.join(least, "u")
+    joined = lookup(both, "u", least)
     if small:
         joined = joined.select("v", "m").union(least.select(F.col("u").alias("v"), "m"))
     else:

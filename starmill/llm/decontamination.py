@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import row_id, shown_id, small_or_shuffled, written
+from starmill.llm.common import row_id, shown_id, small_or_shuffled, text_key, written
 
 WINDOW = 5
 PERCENT = 80
@@ -100,9 +100,9 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(_id, _th, item_id, n_windows, item_windows, verbatim) of the items found in documents."""
-    items = written(item_windows(benchmark).withColumn("_which", F.hash("_text")))
+    items = written(item_windows(benchmark).withColumn("_which", F.unhex(F.md5(F.col("_text").cast("binary")))))
     text = F.coalesce("text", F.lit(""))
-    base = docs.select(row_id().alias("_id"), F.hash(text).alias("_th"), text.alias("_text"))
+    base = docs.select(row_id().alias("_id"), text_key().alias("_th"), text.alias("_text"))
     tokens = base.select("_id", "_th", _tokens(_template("_text")).alias("_tokens"))
     places = tokens.select("_id", "_th", F.posexplode(_windows("_tokens")).alias("_pos", "_hash"))
     keys = items.select("_item", "_which", "_ipos", "_hash", "_total")
@@ -180,6 +180,5 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no item was found, unchanged."""
     found = small_or_shuffled(written(matches(docs, benchmark).select("_id", "_th").distinct()))
-    text = F.coalesce("text", F.lit(""))
-    mine = docs.select(F.struct(*docs.columns).alias("_row"), row_id().alias("_id"), F.hash(text).alias("_th"))
+    mine = docs.select(F.struct(*docs.columns).alias("_row"), row_id().alias("_id"), text_key().alias("_th"))
     return mine.join(found, ["_id", "_th"], "left_anti").select("_row.*")

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from starmill.llm.common import (
     NULL_ID, ODD, Words, keyed, mix, pieces, row_id, shown_id, signed, small_or_shuffled,
-    windows, written,
+    text_key, windows, written,
 )
 from starmill.llm.components import components
 from starmill.operators.matching import lookup
@@ -98,7 +98,7 @@ def shingle_sets(words: Words, count: int) -> list[np.ndarray]:
     return out
 
 
-FEATURES = "_id bigint, _th int, _n bigint, _set bigint, _bands array<bigint>"
+FEATURES = "_id bigint, _th binary, _n bigint, _set bigint, _bands array<bigint>"
 
 
 def _features(percent: int):
@@ -162,7 +162,7 @@ def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-REP = "struct<_id:bigint,_th:int>"
+REP = "struct<_id:bigint,_th:binary>"
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -324,6 +324,5 @@ def survivors(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .distinct()
     )
     later = small_or_shuffled(later)
-    text = F.coalesce("text", F.lit(""))
-    mine = docs.select(F.struct(*docs.columns).alias("_row"), row_id().alias("_id"), F.hash(text).alias("_th"))
+    mine = docs.select(F.struct(*docs.columns).alias("_row"), row_id().alias("_id"), text_key().alias("_th"))
     return mine.join(later, ["_id", "_th"], "left_anti").dropDuplicates(["_id", "_th"]).select("_row.*")

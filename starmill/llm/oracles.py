@@ -148,18 +148,22 @@ WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS t FROM documents),
                AND len(list_distinct(string_split(s, ''))) >= 8 AS live
         FROM valued GROUP BY s),
     classed AS (SELECT s, CASE WHEN owners > 2 THEN 'copied' WHEN live THEN 'live' END AS class FROM owned),
+    places AS (
+        SELECT x.doc_id, x.a, x.v, c.s, unnest(range(0, length(x.v) - length(c.s) + 1)) AS p
+        FROM bare x JOIN classed c ON c.class = 'live' AND contains(x.v, c.s)),
     outside AS (
-        SELECT doc_id, 3 AS kind, a, a + length(s) AS b FROM (
-            SELECT *, regexp_replace(v, '[.=]+$', '') AS s FROM bare) x
-        JOIN classed USING (s)
-        WHERE class = 'live' AND NOT EXISTS (
+        SELECT DISTINCT doc_id, 3 AS kind, a, b FROM (
+            SELECT doc_id, a + p AS a, a + p + length(s) AS b FROM places
+            WHERE substr(v, p + 1, length(s)) = s AND NOT regexp_matches(substr(v, p + length(s) + 1, 1), '[A-Za-z0-9]')
+              AND (p = 0 OR NOT regexp_matches(substr(v, p, 1) || left(s, 1), '^[A-Za-z0-9]{{2}}$'))) x
+        WHERE NOT EXISTS (
             SELECT 1 FROM base y WHERE y.doc_id = x.doc_id AND y.a < x.b AND x.a < y.b)),
     named AS (SELECT doc_id, kind, a, b FROM base UNION ALL SELECT * FROM outside),
     listed AS (
         SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
                count(*) FILTER (kind = 2) AS n_hex,
                string_agg(['assign', 'access', 'hex', 'live'][kind + 1] || ':' || a || ':' || b, ','
-                          ORDER BY a, kind) AS spans,
+                          ORDER BY a, kind, b) AS spans,
                string_agg(['assign', 'access', 'hex'][kind + 1] || ':' || a || ':' || b, ','
                           ORDER BY a, kind) FILTER (kind < 3) AS base
         FROM named GROUP BY doc_id),

@@ -10,8 +10,10 @@ single owner or two that looks live (long enough, letters and digits, many diffe
 characters, no word for an example) is a credential; where it stands bare in some text,
 outside any span found by pattern, that place is added as a span of kind ``live``. Inside a
 run of value characters, as in NAME=value, a URL or a file name, it may begin and end at
-any character that is not a letter or digit. A run's parts meet the first parts of known
-values, and where these agree the hash of the whole value decides.
+any character that is not a letter or digit. Parts are what other characters separate. A run
+offers, for every number of parts that a known value has, all its stretches of that many
+parts, each under the hash of the whole stretch: values that begin alike, as those of one
+service do, do not meet each other's runs.
 
 NULL texts are empty. A NULL owner or repository counts as one of its own. Rows that repeat
 doc_id and text count once.
@@ -22,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import row_id, shown_id, small_or_shuffled, written
+from starmill.llm.common import row_id, shown_id, small_or_shuffled, text_key, written
 
 # The patterns of the three kinds, the value's group, and its least length.
 KINDS = (
@@ -39,8 +41,8 @@ BARE = r"(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/_.=-]*+[0-9])[A-Za-z0-9+/_.=-]{16,}+"
 PART = "[A-Za-z0-9]+"
 EXAMPLE = r"(?i)example|sample|dummy|placeholder|change.?me|your|xxxx|test|1234567|abcdef"
 MAX_OWNERS = 2
-# Documents with secrets whose spans may be broadcast, and known values, some hundred bytes each.
-BROADCAST_SPANS = 200_000
+# Known values that may be broadcast, about a hundred bytes each, and bytes of spans of documents.
+BROADCAST_VALUES, BROADCAST_BYTES = 200_000, 32 << 20
 LEAST_LIVE, LEAST_CHARACTERS = 16, 8
 
 _SPAN = "struct<start:int,kind:int,end:int,value:string>"
@@ -71,7 +73,7 @@ def scan(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
     """(_id, _th, _owner, _repository, _base, _bare) without the texts."""
     base = docs.select(
         row_id().alias("_id"),
-        F.hash(F.coalesce("text", F.lit(""))).alias("_th"),
+        text_key().alias("_th"),
         owner.cast("string").alias("_owner"),
         repository.cast("string").alias("_repository"),
         F.coalesce("text", F.lit("")).alias("_text"),
@@ -90,7 +92,8 @@ def _trimmed(value: str) -> Column:
 
 def ownership(scanned: DataFrame) -> DataFrame:
     """Per value hash: n_documents, n_repositories, n_owners, live, and how to find it in a run:
-    _head (hash of its first part), _lead (characters before that), _length."""
+    _parts, _core (hash of the value from its first part to its last), _lead (characters
+    before that), _length."""
     value = _trimmed("_s.value")
     rows = scanned.select("_id", "_th", "_owner", "_repository", F.explode("_base").alias("_s"))
     rows = rows.select("_id", "_th", "_owner", "_repository", F.sha2(value, 256).alias("_hash"), (
@@ -100,7 +103,8 @@ def ownership(scanned: DataFrame) -> DataFrame:
         & ~value.rlike(EXAMPLE)
         & (F.size(F.array_distinct(F.split(value, ""))) >= LEAST_CHARACTERS)
     ).alias("_live"), F.struct(
-        F.xxhash64(F.regexp_extract(value, PART, 0)).alias("_head"),
+        F.size(F.regexp_extract_all(value, F.lit(PART), F.lit(0))).alias("_parts"),
+        F.xxhash64(F.regexp_replace(value, "^[^A-Za-z0-9]+|[^A-Za-z0-9]+$", "")).alias("_core"),
         F.length(F.regexp_extract(value, "^[^A-Za-z0-9]*", 0)).alias("_lead"),
         F.length(value).alias("_length"),
     ).alias("_place"))
@@ -122,14 +126,22 @@ def ownership(scanned: DataFrame) -> DataFrame:
 
 def _extra(scanned: DataFrame, known: DataFrame) -> DataFrame:
     """(_id, _th, _place): known live values in bare runs, outside all spans found by pattern."""
-    live = small_or_shuffled(
-        written(known.where("_class = 'live'").select("_hash", "_head", "_lead", "_length")), BROADCAST_SPANS
-    )
+    live = written(known.where("_class = 'live'").select("_hash", "_parts", "_core", "_lead", "_length"))
+    # The numbers of parts that occur: one small array.
+    sizes = live.agg(F.collect_set("_parts")).scalar()
+    live = small_or_shuffled(live.drop("_parts"), BROADCAST_VALUES)
     runs = scanned.select("_id", "_th", "_base", F.explode("_bare").alias("_s"))
-    runs = runs.select("*", F.col("_s.value").alias("_run"))
-    parts = runs.select("*", F.explode(_matches("_run", PART, 0, 1, 0)).alias("_p"))
-    met = parts.withColumn("_head", F.xxhash64("_p.value")).join(live, "_head")
-    met = met.withColumn("_at", F.col("_p.start") - F.col("_lead"))
+    runs = runs.select("*", F.col("_s.value").alias("_run")).withColumn("_sizes", sizes)
+    runs = runs.withColumn("_p", _matches("_run", PART, 0, 1, 0))
+    stretches = """
+        flatten(transform(filter(_sizes, m -> m <= size(_p)), m ->
+          transform(sequence(0, size(_p) - m), i -> struct(
+            _p[i].start AS start,
+            xxhash64(substring(_run, _p[i].start + 1, _p[i + m - 1].end - _p[i].start)) AS core))))
+    """
+    offered = runs.select("_id", "_th", "_base", "_s", "_run", F.explode(F.expr(stretches)).alias("_o"))
+    met = offered.withColumn("_core", F.col("_o.core")).join(live, "_core")
+    met = met.withColumn("_at", F.col("_o.start") - F.col("_lead"))
     value, after = F.expr("substring(_run, _at + 1, _length)"), F.expr("substring(_run, _at + _length + 1, 1)")
     whole = (F.col("_at") >= 0) & ~after.rlike(PART) & (F.sha2(value, 256) == F.col("_hash"))
     start = F.col("_s.start") + F.col("_at")
@@ -152,7 +164,7 @@ def find(docs: DataFrame, owner: Column | None = None, repository: Column | None
     repository = F.concat_ws("/", "source", "lang") if repository is None else repository
     scanned = written(scan(docs, owner, repository))
     known = written(ownership(scanned).select(
-        "_hash", "_head", "_lead", "_length",
+        "_hash", "_parts", "_core", "_lead", "_length",
         F.when(F.col("n_owners") > MAX_OWNERS, "copied").when(F.col("_live"), "live").alias("_class"),
     ).where("_class is not null"))
     base = scanned.select("_id", "_th", F.explode("_base").alias("_s")).distinct()
@@ -202,13 +214,14 @@ def masked(docs: DataFrame, owner: Column | None = None, repository: Column | No
     Overlapping spans become one mark. Values known as copied examples are masked as well,
     since a copied credential may still be someone's.
     """
-    found = find(docs, owner, repository).select(
-        "_id", "_th", F.sort_array(F.concat("_base", "_added")).alias("_spans")
-    )
+    places = F.sort_array(F.concat("_base", "_added"))
+    # Only where spans begin and end is kept, no values.
+    places = F.transform(places, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    found = find(docs, owner, repository).select("_id", "_th", places.alias("_spans"))
     spans = written(found.where(F.size("_spans") > 0).dropDuplicates(["_id", "_th"]))
-    spans = small_or_shuffled(spans, BROADCAST_SPANS)
-    text = F.coalesce("text", F.lit(""))
-    mine = docs.select(F.struct(*docs.columns).alias("_row"), row_id().alias("_id"), F.hash(text).alias("_th"))
+    size = spans.agg(F.sum(64 + 32 * F.size("_spans"))).first()[0] or 0
+    spans = F.broadcast(spans) if size <= BROADCAST_BYTES else spans
+    mine = docs.select(F.struct(*docs.columns).alias("_row"), row_id().alias("_id"), text_key().alias("_th"))
     joined = mine.join(spans, ["_id", "_th"], "left")
     cut = """
         aggregate(_spans, struct(0 AS at, cast('' AS string) AS kept),

@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 from starmill.llm.common import ODD, mix, signed
 
 # ``_h`` is NULL where it equals ``_deal``, so that it takes no room.
-SCHEMA = "_deal bigint, _h bigint, _id bigint, _kind tinyint"
+SCHEMA = "_deal bigint, _h bigint, _doc bigint, _kind tinyint"
 SINGLE, STAND_IN, PROVEN = 0, 1, 2
 
 
-def offer(keys, rows, ids, within: bool) -> pa.RecordBatch:
-    """Pairs of one chunk. ``within``: a key twice in one document counts as repeated."""
+def offer(keys, rows, docs, within: bool) -> pa.RecordBatch:
+    """Pairs of one chunk; ``docs`` has the number of the document of each row. ``within``: a key twice in one document counts as repeated."""
     order = np.lexsort((rows, keys))
     k, r = keys[order], rows[order]
     new_key = np.ones(len(k), bool)
@@ -34,7 +34,7 @@ def offer(keys, rows, ids, within: bool) -> pa.RecordBatch:
         sizes = np.diff(np.append(firsts, len(k)))
         proven = sizes > 1
     elif len(k):
-        owner = ids[r]
+        owner = docs[r]
         proven = np.minimum.reduceat(owner, firsts) != np.maximum.reduceat(owner, firsts)
     else:
         proven = np.zeros(0, bool)
@@ -45,16 +45,16 @@ def offer(keys, rows, ids, within: bool) -> pa.RecordBatch:
     at = np.concatenate([pairs, stand])
     kind = np.concatenate([kind, np.full(len(stand), STAND_IN)]).astype(np.int8)
     h, row = k[at], r[at]
-    spread = mix(h + mix(ids[row].view(np.uint64) * ODD + np.uint64(1)))
+    spread = mix(h + mix(docs[row].view(np.uint64) * ODD + np.uint64(1)))
     deal = np.where(kind == PROVEN, spread >> np.uint64(1), h)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(signed(deal)),
             pa.array(signed(h), mask=kind != PROVEN),
-            pa.array(ids[row]),
+            pa.array(docs[row]),
             pa.array(kind),
         ],
-        ["_deal", "_h", "_id", "_kind"],
+        ["_deal", "_h", "_doc", "_kind"],
     )
 
 
@@ -73,8 +73,8 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return None
         h = table["_h"].combine_chunks().fill_null(0).to_numpy()
         h = np.where(kind == PROVEN, h, deal)
-        ids = table["_id"].to_numpy()
-        return pa.RecordBatch.from_arrays([pa.array(h[keep]), pa.array(ids[keep])], ["_h", "_id"])
+        docs = table["_doc"].to_numpy()
+        return pa.RecordBatch.from_arrays([pa.array(h[keep]), pa.array(docs[keep])], ["_h", "_doc"])
 
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -92,14 +92,11 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated(offers: DataFrame) -> DataFrame:
-    """(_h, _id) of the offered pairs whose key was offered by two documents or chunks."""
+    """(_h, _doc) of the offered pairs whose key was offered by two documents or chunks."""
     dealt = offers.repartition("_deal").sortWithinPartitions("_deal")
-    return dealt.mapInArrow(_keep, "_h bigint, _id bigint")
+    return dealt.mapInArrow(_keep, "_h bigint, _doc bigint")
 
 
 def by_document(pairs: DataFrame) -> DataFrame:
-    """(_id, _keys): a document's repeated keys; no more than it has windows.
-
-    Rows that share an id share its keys: a key says that it occurs twice somewhere.
-    """
-    return pairs.groupBy("_id").agg(F.collect_list("_h").alias("_keys"))
+    """(_doc, _keys): a document's repeated keys; no more than it has windows."""
+    return pairs.groupBy("_doc").agg(F.collect_list("_h").alias("_keys"))

@@ -7,7 +7,8 @@ representatives, so no repeat is lost, and only about one window in eight is shu
 
 NULL and empty texts have no words. Texts shorter than a window keep all words. Rows that
 repeat doc_id and text are one document and get the same result; rows that repeat a
-doc_id with another text have equal rank, so an equal start in both is not "earlier".
+doc_id with another text are documents of equal rank, so an equal start in both is not
+"earlier". NULL ids are equal ids, before all others. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from starmill.llm import sieve
 from starmill.llm.common import (
-    ODD, Words, keyed, mix, pieces, runs, shown_id, signed, sliding,
+    ODD, Words, mix, numbered, pieces, runs, shown_id, signed, sliding,
 )
 
 WINDOW = 20
@@ -31,7 +32,7 @@ WINDOW = 20
 def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return (
         batch.column(batch.schema.get_field_index("_id")).to_numpy(zero_copy_only=False),
-        batch.column(batch.schema.get_field_index("_th")).to_numpy(zero_copy_only=False),
+        batch.column(batch.schema.get_field_index("_doc")).to_numpy(zero_copy_only=False),
     )
 
 
@@ -52,7 +53,7 @@ def _offers(length: int, shorter: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "_text"):
             words = Words(batch.column(batch.schema.get_field_index("_text")))
-            ids, _ = _columns(batch)
+            _, docs = _columns(batch)
             grams, _ = words.grams(length)
             fits = _candidates(batch, words, shorter, window)
             if not len(fits):
@@ -62,13 +63,13 @@ def _offers(length: int, shorter: int, window: int):
             span = window - length
             around = np.concatenate([np.zeros(span, np.uint64), least, np.zeros(span, np.uint64)])
             at = np.flatnonzero((sliding(around, span + 1, np.maximum) == grams) & (grams != 0))
-            yield sieve.offer(grams[at], words.rows[at], ids, within=True)
+            yield sieve.offer(grams[at], words.rows[at], docs, within=True)
 
     return run
 
 
 # ``_end`` is 0 for a window whose fate is open: its end is known from its start.
-FULL = "_deal bigint, _id bigint, _th int, _start int, _end int"
+FULL = "_deal bigint, _id bigint, _doc bigint, _start int, _end int"
 # A larger chunk settles more windows before they are shuffled.
 SETTLED = 4 << 20
 
@@ -79,7 +80,7 @@ def _full_windows(shorter: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "_text", SETTLED):
             words = Words(batch.column(batch.schema.get_field_index("_text")))
-            ids, hashes = _columns(batch)
+            ids, docs = _columns(batch)
             at = np.flatnonzero(_candidates(batch, words, shorter, window))
             grams, _ = words.grams(window)
             g, row = grams[at], words.rows[at]
@@ -95,17 +96,17 @@ def _full_windows(shorter: int, window: int):
             row_all = np.concatenate([row[open_], r])
             starts = np.concatenate([place[open_], s])
             spread = mix(
-                mix(ids[r].view(np.uint64) * ODD) + s.astype(np.uint64)
+                mix(docs[r].view(np.uint64) * ODD) + s.astype(np.uint64)
             ) >> np.uint64(1)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(signed(np.concatenate([g[open_], spread]))),
                     pa.array(ids[row_all]),
-                    pa.array(hashes[row_all]),
+                    pa.array(docs[row_all]),
                     pa.array(starts.astype(np.int32)),
                     pa.array(np.concatenate([np.zeros(len(open_), np.int64), e]).astype(np.int32)),
                 ],
-                ["_deal", "_id", "_th", "_start", "_end"],
+                ["_deal", "_id", "_doc", "_start", "_end"],
             )
 
     return run
@@ -117,7 +118,7 @@ def _later(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         deal_, id_, start_ = None, 0, 0
         for batch in batches:
-            deal, ids, th, start, end = (batch.column(k).to_numpy() for k in range(5))
+            deal, ids, docs, start, end = (batch.column(k).to_numpy() for k in range(5))
             if not len(deal):
                 continue
             new = np.ones(len(deal), bool)
@@ -132,32 +133,30 @@ def _later(window: int):
             deal_, id_, start_ = deal[-1], first_id[-1], first_start[-1]
             end = np.where(end > 0, end, start + window).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[gone]) for x in (ids, th, start, end)], ["_id", "_th", "_start", "_end"]
+                [pa.array(x[gone]) for x in (docs, start, end)], ["_doc", "_start", "_end"]
             )
 
     return run
 
 
 class Spans:
-    """The spans that were collected per id, read by row and text hash."""
+    """The spans that were collected per document, read by row."""
 
     def __init__(self, batch: pa.RecordBatch):
-        lists = [batch.column(batch.schema.get_field_index(c)) for c in ("_ths", "_starts", "_ends")]
+        lists = [batch.column(batch.schema.get_field_index(c)) for c in ("_starts", "_ends")]
         self.has = lists[0].is_valid().to_numpy(zero_copy_only=False)
         self.lists = lists
 
-    def of(self, row: int, text_hash: int) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, row: int) -> tuple[np.ndarray, np.ndarray]:
         if not self.has[row]:
             return np.zeros(0, np.int32), np.zeros(0, np.int32)
-        th, s, e = (x[row].values.to_numpy() for x in self.lists)
-        mine = th == text_hash
-        return s[mine], e[mine]
+        s, e = (x[row].values.to_numpy() for x in self.lists)
+        return s, e
 
 
 def collected(spans: DataFrame) -> DataFrame:
-    """(_id, _ths, _starts, _ends) of (_id, _th, _start, _end)."""
-    return spans.groupBy("_id").agg(
-        F.collect_list("_th").alias("_ths"),
+    """(_doc, _starts, _ends) of (_doc, _start, _end)."""
+    return spans.groupBy("_doc").agg(
         F.collect_list("_start").alias("_starts"),
         F.collect_list("_end").alias("_ends"),
     )
@@ -166,7 +165,7 @@ def collected(spans: DataFrame) -> DataFrame:
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "_text"):
         words = Words(batch.column(batch.schema.get_field_index("_text")))
-        ids, hashes = _columns(batch)
+        ids, _ = _columns(batch)
         n = batch.num_rows
         sizes = np.diff(words.ranges)
         removed, digests = np.zeros(n, np.int64), []
@@ -174,7 +173,7 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in range(n):
             a, b = words.ranges[row], words.ranges[row + 1]
             keep = np.ones(b - a, bool)
-            s, e = spans.of(row, hashes[row])
+            s, e = spans.of(row)
             if len(s):
                 change = np.zeros(b - a + 1, np.int64)
                 np.add.at(change, s, 1)
@@ -192,28 +191,31 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def removed_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(_id, _ths, _starts, _ends): word spans to remove, for documents that have any."""
-    base = keyed(docs)
+def removed_spans(base: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(_doc, _starts, _ends): word spans to remove, for documents that have any.
+
+    ``base`` has one row (_id, _doc, _text) for each document.
+    """
     shorter, table = 0, base
     length = max(window // 4, 1)
     while length < window:
         pairs = sieve.repeated(table.mapInArrow(_offers(length, shorter, window), sieve.SCHEMA))
         # Documents without a repeated key drop out; the shuffle of the texts is reused.
-        table = base.join(sieve.by_document(pairs), "_id")
+        table = base.join(sieve.by_document(pairs), "_doc")
         shorter, length = length, length * 2
     full = table.mapInArrow(_full_windows(shorter, window), FULL)
     spans = (
         full.repartition("_deal")
         .sortWithinPartitions("_deal", "_id", "_start")
-        .mapInArrow(_later(window), "_id bigint, _th int, _start int, _end int")
+        .mapInArrow(_later(window), "_doc bigint, _start int, _end int")
     )
     return collected(spans)
 
 
 def deduplicate(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256."""
-    joined = keyed(docs).join(removed_spans(docs, window), "_id", "left")
+    every, base = numbered(docs)
+    joined = every.join(removed_spans(base, window), "_doc", "left")
     out = joined.mapInArrow(
         _apply, "_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     )

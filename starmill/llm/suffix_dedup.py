@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from starmill.llm import sieve
 from starmill.llm.common import (
-    ODD, keyed, mix, pieces, prefix_hashes, release_shuffles, runs, shown_id, signed, sliding,
+    ODD, numbered, mix, pieces, prefix_hashes, release_shuffles, runs, shown_id, signed, sliding,
     small_or_shuffled, span_hashes, strided_hashes, text_buffer, written,
 )
 from starmill.llm.substring_dedup import Spans, collected
@@ -85,8 +85,8 @@ def _offers(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "_text", SCANNED):
             strings = Strings(batch, length)
-            ids = _col(batch, "_id").to_numpy(zero_copy_only=False)
-            yield sieve.offer(strings.pieces[strings.anchors], strings.rows, ids, within=False)
+            docs = _col(batch, "_doc").to_numpy(zero_copy_only=False)
+            yield sieve.offer(strings.pieces[strings.anchors], strings.rows, docs, within=False)
 
     return run
 
@@ -97,7 +97,7 @@ def mark(starts: np.ndarray, repeated: np.ndarray) -> np.ndarray:
 
 
 # ``_anchor`` is the anchor's place in the context; a NULL context is a span to remove.
-CONTEXT = "_deal bigint, _bytes binary, _anchor int, _id bigint, _th int, _start int, _end int"
+CONTEXT = "_deal bigint, _bytes binary, _anchor int, _id bigint, _doc bigint, _start int, _end int"
 
 
 def _contexts(length: int, hot: np.ndarray):
@@ -126,7 +126,7 @@ def _contexts(length: int, hot: np.ndarray):
                 row = np.append(row[~alone], np.searchsorted(off, one, "right") - 1)
                 at, deal = np.append(at[~alone], one), np.append(deal[~alone], own)
             ids = _col(batch, "_id").to_numpy(zero_copy_only=False)
-            hashes = _col(batch, "_th").to_numpy(zero_copy_only=False)
+            docs = _col(batch, "_doc").to_numpy(zero_copy_only=False)
             body = span_hashes(strings.prefix, start, end)
             order = np.lexsort((start, row, ids[row], body, deal))
             start, end, row, deal, body, at = (x[order] for x in (start, end, row, deal, body, at))
@@ -148,14 +148,14 @@ def _contexts(length: int, hot: np.ndarray):
             ]
             row_all = np.concatenate([row[left], r])
             base = off[row_all]
-            spread = mix(mix(ids[r].view(np.uint64) * ODD) + s.astype(np.uint64))
+            spread = mix(mix(docs[r].view(np.uint64) * ODD) + s.astype(np.uint64))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(signed(np.concatenate([deal[left], spread >> np.uint64(1)]))),
                     pa.array(cut + [None] * len(r), pa.binary()),
                     pa.array(np.concatenate([at[left] - start[left], np.zeros(len(r), np.int64)]).astype(np.int32)),
                     pa.array(ids[row_all]),
-                    pa.array(hashes[row_all]),
+                    pa.array(docs[row_all]),
                     pa.array(
                         mark(
                             np.concatenate([start[left], s]) - base,
@@ -164,7 +164,7 @@ def _contexts(length: int, hot: np.ndarray):
                     ),
                     pa.array((np.concatenate([end[left], e]) - base).astype(np.int32)),
                 ],
-                ["_deal", "_bytes", "_anchor", "_id", "_th", "_start", "_end"],
+                ["_deal", "_bytes", "_anchor", "_id", "_doc", "_start", "_end"],
             )
 
     return run
@@ -299,27 +299,26 @@ def _could_repeat(contexts: list[bytes], anchors: np.ndarray, length: int) -> np
 def _merge(length: int):
     """From contexts sorted by (deal, bytes, id), the spans to remove."""
 
-    def spans(ids, hashes, starts, ends):
+    def spans(docs, starts, ends):
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(ids),
-                pa.array(hashes),
+                pa.array(docs),
                 pa.array(starts.astype(np.int32)),
                 pa.array(ends.astype(np.int32)),
             ],
-            ["_id", "_th", "_start", "_end"],
+            ["_doc", "_start", "_end"],
         )
 
     def settle(table: pa.Table) -> Iterator[pa.RecordBatch]:
         table = table.combine_chunks()
         bytes_ = table["_bytes"]
         is_span = bytes_.is_null().to_numpy()
-        ids, hashes = table["_id"].to_numpy(), table["_th"].to_numpy()
+        ids, docs = table["_id"].to_numpy(), table["_doc"].to_numpy()
         start, end = table["_start"].to_numpy(), table["_end"].to_numpy()
         if is_span.any():
-            yield spans(ids[is_span], hashes[is_span], start[is_span], end[is_span])
+            yield spans(docs[is_span], start[is_span], end[is_span])
             table = table.filter(pa.array(~is_span))
-            ids, hashes, start, end = (x[~is_span] for x in (ids, hashes, start, end))
+            ids, docs, start, end = (x[~is_span] for x in (ids, docs, start, end))
         marked = start < 0
         start = np.where(marked, -start - 1, start)
         if not len(ids):
@@ -333,7 +332,7 @@ def _merge(length: int):
         of = np.cumsum(new) - 1
         later = ids != owner[of]
         if later.any():
-            yield spans(ids[later], hashes[later], mark(start, marked)[later], end[later])
+            yield spans(docs[later], mark(start, marked)[later], end[later])
         # Only groups with two different contexts can hold more repeats.
         group = deal[first]
         company = np.zeros(len(first), bool)
@@ -362,7 +361,7 @@ def _merge(length: int):
         rows = holders[each]
         s, e = np.repeat(s, times), np.repeat(e, times)
         if len(rows):
-            yield spans(ids[rows], hashes[rows], mark(start[rows] + s, marked[rows]), start[rows] + e)
+            yield spans(docs[rows], mark(start[rows] + s, marked[rows]), start[rows] + e)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -407,13 +406,12 @@ def everywhere(text: bytes, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, n
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "_text"):
         data, off = text_buffer(_col(batch, "_text"))
-        hashes = _col(batch, "_th").to_numpy(zero_copy_only=False)
         n = batch.num_rows
         removed, count, digests = np.zeros(n, np.int64), np.zeros(n, np.int64), []
         spans = Spans(batch)
         for row in range(n):
             text = data[off[row] : off[row + 1]]
-            s, e = spans.of(row, hashes[row])
+            s, e = spans.of(row)
             s, e = everywhere(text.tobytes(), s, e) if len(s) else (s, e)
             s, e, _ = runs(s, e, np.zeros(len(s), np.int64))
             count[row], removed[row] = len(s), (e - s).sum()
@@ -435,37 +433,40 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def copies(base: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(_id, _th, _end): texts that an earlier document has as a whole, and their sizes."""
+    """(_doc, _end): texts that an earlier document has as a whole, and their sizes."""
     size = F.octet_length("_text")
-    digests = base.where(size >= length).select("_id", "_th", size.alias("_end"), F.sha2("_text", 256).alias("_sha"))
+    digests = base.where(size >= length).select("_id", "_doc", size.alias("_end"), F.sha2("_text", 256).alias("_sha"))
     first = digests.groupBy("_sha").agg(F.min("_id").alias("_first"))
     later = lookup(digests, "_sha", first).where("_id > _first")
-    return later.select("_id", "_th", "_end").distinct()
+    return later.select("_doc", "_end")
+
 
+def removed_spans(base: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(_doc, _starts, _ends): byte spans to remove, for documents that have any.
 
-def removed_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(_id, _ths, _starts, _ends): byte spans to remove, for documents that have any."""
-    base = keyed(docs)
+    ``base`` has one row (_id, _doc, _text) for each document.
+    """
     whole = written(copies(base, length))
-    originals = base.join(small_or_shuffled(whole), ["_id", "_th"], "left_anti")
+    originals = base.join(small_or_shuffled(whole), "_doc", "left_anti")
     pairs = written(sieve.repeated(originals.mapInArrow(_offers(length), sieve.SCHEMA)))
-    release_shuffles(docs.sparkSession)
+    release_shuffles(base.sparkSession)
     most = max(HOT_LEAST, base.count() // HOT_SHARE)
     # A document has one anchor in about 14 bytes, so few can be in that many documents.
     hot = [r[0] for r in pairs.groupBy("_h").count().where(F.col("count") > most).select("_h").collect()]
-    table = base.join(sieve.by_document(pairs), "_id")
+    table = base.join(sieve.by_document(pairs), "_doc")
     contexts = table.mapInArrow(_contexts(length, np.array(sorted(hot), np.int64).view(np.uint64)), CONTEXT)
     spans = (
         contexts.repartition("_deal")
         .sortWithinPartitions("_deal", "_bytes", "_id")
-        .mapInArrow(_merge(length), "_id bigint, _th int, _start int, _end int")
+        .mapInArrow(_merge(length), "_doc bigint, _start int, _end int")
     )
-    return collected(spans.union(whole.select("_id", "_th", F.lit(0), "_end")))
+    return collected(spans.union(whole.select("_doc", F.lit(0), "_end")))
 
 
 def deduplicate(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    joined = keyed(docs).join(removed_spans(docs, length), "_id", "left")
+    every, base = numbered(docs)
+    joined = every.join(removed_spans(base, length), "_doc", "left")
     out = joined.mapInArrow(
         _apply,
         "_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",

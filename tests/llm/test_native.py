@@ -284,3 +284,45 @@ def test_known_values_inside_longer_runs(session):
         assert spans[10 + k].startswith(f"live:{at}:{at + 18}") == inside
     assert texts[30] == "at Q=<SECRET>= or host<SECRET>=.txt"
     assert texts[31] == "<SECRET> AUTH=<SECRET>"
+
+
+def test_in_run_finds_equal_sql(session):
+    """Known values inside longer runs, with odd edges, against the second engine."""
+    import duckdb
+
+    from starmill.llm.oracles import SQL
+
+    values = ["Zk3vQ9xLm2Rt8WyBc4", "/Ab3-dE6_gH9+jK2/mN5", "a1-b2-c3-d4-e5-f6-g7", "a1-b2-c3-d4-e5-f6-g7-h8"]
+    contexts = ["AUTH={} x", "u/{}/{}", "x{}", "{}x", "q=/{}-a1-b2", "{}={}.txt", "a1-{}-b2", "--{}--"]
+    rows = [(k, f"password = {v}", f"s{k % 2}") for k, v in enumerate(values)]
+    rows += [(10 + 10 * k + j, c.replace("{}", v), "s9") for k, v in enumerate(values) for j, c in enumerate(contexts)]
+    rows.append((99, " ".join(f"{a}{v}{b}" for v in values for a in "=a/" for b in "-9 "), "s1"))
+    frame = session.createDataFrame(rows, "doc_id bigint, text string, source string").selectExpr("*", "'en' AS lang")
+    report = secret_scan.report(frame)
+    engine = duckdb.connect()
+    documents = frame.toArrow()  # noqa: F841
+    relation = engine.sql(SQL["op3_secret_scan"])
+    columns = sorted(report.columns)
+    assert columns == sorted(relation.columns)
+    places = [relation.columns.index(c) for c in columns]
+    theirs = sorted((tuple(r[i] for i in places) for r in relation.fetchall()), key=str)
+    assert result(report, *columns) == theirs
+    assert sum(r[columns.index("spans")].count("live") for r in theirs) > 30
+
+
+def test_values_that_begin_alike_meet_only_their_own_runs(session):
+    """Ten thousand credentials of one service: joined rows follow the runs."""
+    count = 10_000
+    rows = session.range(2 * count).selectExpr(
+        "id AS doc_id",
+        f"concat(IF(id < {count}, 'token: ', 'URL=https://h/'), 'ghp_', substring(sha2(cast(id % {count} AS string), 256), 1, 30)) AS text",
+        f"IF(id < {count}, 'a', 'b') AS source", "'en' AS lang",
+    )
+    scanned = secret_scan.scan(rows, F.col("source"), F.col("lang"))
+    known = secret_scan.ownership(scanned).withColumn("_class", F.when(F.col("_live"), "live"))
+    extra = secret_scan._extra(scanned, known)
+    live = known.where("_class = 'live'").count()
+    assert live > 0.9 * count
+    assert extra.count() == live
+    cores = known.where("_live").groupBy("_core").count()
+    assert cores.agg(F.max("count")).first()[0] == 1
