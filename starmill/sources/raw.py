@@ -8,6 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from starmill.layer import Layer
+from starmill.sources.quoted import read_quoted
 
 RAW_TABLES = (
     "customers",
@@ -40,12 +41,14 @@ def read_csv(
 
     A schema binds by position, and an unreadable value becomes NULL. Quotes inside a
     quoted text are doubled; ``plain`` expects Spark's backslash instead and one record
-    per line. ``multiline`` lets quoted texts hold line breaks, at the price that one
-    file is one task: deliver such a table as a folder of many files.
+    per line. ``multiline`` lets quoted texts hold line breaks; the blocks of a file are read
+    by tasks of their own also then.
     """
+    if multiline and not plain:
+        return read_quoted(spark, path, schema)
     reader = spark.read.option("header", True)
     if not plain:
-        reader = reader.option("escape", '"').option("multiLine", multiline)
+        reader = reader.option("escape", '"')
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", True)
     return reader.csv(path)

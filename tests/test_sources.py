@@ -58,6 +58,51 @@ def test_reviews_with_schema_and_line_breaks(spark, tmp_path):
     assert read_csv(spark, str(path), REVIEWS_SCHEMA, plain=True).count() == 3
 
 
+WIDE = "id string, a string, b string, n int, day date"
+
+
+def csv_text(rows, newline="\n"):
+    out = ["id,a,b,n,day"]
+    for row in rows:
+        out.append(",".join('"' + c.replace('"', '""') + '"' if set(c) & set('",\n\r') else c for c in row))
+    return newline.join(out) + newline
+
+
+def awkward(count, start=0):
+    """Records with line breaks, quotes, commas, empty fields, and texts longer than blocks."""
+    for k in range(start, start + count):
+        a = ["plain", 'say "hi"\nand ""go""', "x" * (k % 50), "line\n\n\nbreaks, too", '"', "", "é\nü"][k % 7]
+        b = "long\n" * 4000 if k % 211 == 5 else ['"\n"', "b", "", "c,d"][k % 4]
+        yield str(k), a, b, str(k) if k % 3 else "junk", "2018-01-02" if k % 5 else ""
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_one_file_with_line_breaks_is_read_by_several_tasks(spark, tmp_path, settings, newline):
+    folder = tmp_path / "reviews"
+    folder.mkdir()
+    (folder / "one.csv").write_text(csv_text(awkward(900), newline), newline="")
+    (folder / "two.csv").write_text(csv_text(awkward(40, 5000), newline).rstrip("\r\n"), newline="")
+    (folder / "empty.csv").write_text("id,a,b,n,day\n")
+    expected = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+    expected = expected.schema(WIDE).csv(str(folder))
+    assert expected.count() == 940
+    for size in ("1m", "8k", "1k"):
+        settings(spark__sql__files__maxPartitionBytes=size, spark__sql__files__openCostInBytes="0")
+        found = read_csv(spark, str(folder), WIDE, multiline=True)
+        assert found.exceptAll(expected).count() == 0 and expected.exceptAll(found).count() == 0
+        assert found.dtypes == expected.dtypes
+    lines = spark.read.text(str(folder / "one.csv"))
+    assert lines.rdd.getNumPartitions() > 100
+    texts = read_csv(spark, str(folder), multiline=True)
+    assert texts.columns == ["id", "a", "b", "n", "day"] and texts.where("n = 'junk'").count() > 300
+
+
+def test_a_file_of_one_record_without_end(spark, tmp_path):
+    path = tmp_path / "open.csv"
+    path.write_text('a,b\n1,"never\nclosed\n')
+    assert read_csv(spark, str(path), multiline=True).count() == 1
+
+
 def test_read_raw_csv_and_renamed_file(spark, csv_folder):
     (csv_folder / "people.csv").write_text((csv_folder / "customers.csv").read_text())
     raw = read_raw(spark, str(csv_folder), files={"customers": "people.csv"})
