@@ -11,7 +11,11 @@ from starmill.operators.keys import surrogate_key
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, cuts: Mapping[str, tuple[int, int]], tie: str
+    df: DataFrame,
+    value: str,
+    cuts: Mapping[str, tuple[int, int]],
+    tie: str,
+    folder: str | None = None,
 ) -> DataFrame:
     """One row: for each name the quantile ``numerator / denominator`` of ``value``.
 
@@ -20,7 +24,7 @@ def exact_quantiles(
     a frequent value spreads over partitions too.
     """
     present = df.where(F.col(value).isNotNull()).select(value, tie)
-    ranked = surrogate_key(present, "_rank", [value, tie], keep=[value])
+    ranked = surrogate_key(present, "_rank", [value, tie], keep=[value], folder=folder)
     sized = ranked.withColumn("_last", ranked.agg(F.count("*") - 1).scalar())
 
     def value_at(index: Column) -> Column:

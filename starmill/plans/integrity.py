@@ -40,49 +40,32 @@ CHECKS = {
 }
 
 
-def _keys(df: DataFrame, child: bool, **columns: str) -> DataFrame:
-    """(check, orphan_key, child) for each row and check: the named column of ``df``."""
-    pairs = [
-        F.struct(F.lit(check).alias("check"), F.col(column).cast("string").alias("orphan_key"))
-        for check, column in columns.items()
-    ]
-    return df.select(F.explode(F.array(*pairs)).alias("_k")).select("_k.*", F.lit(child).alias("child"))
+def _keys(df: DataFrame, check: str, column: str, child: bool) -> DataFrame:
+    """(check, orphan_key, child) of one column."""
+    return df.select(
+        F.lit(check).alias("check"), F.col(column).cast("string").alias("orphan_key"), F.lit(child).alias("child")
+    )
 
 
 def integrity_findings(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Every orphan key as (check, orphan_key), reading each table once.
+    """Every orphan key as (check, orphan_key), reading each key column once.
 
     Keys of children and parents meet in one grouping, whose map-side part sends each key
     once per input partition. A NULL key has no parent.
     """
-    parents = [
-        _keys(tables["sellers"], False, orphan_sellers="seller_id"),
-        _keys(tables["products"], False, orphan_products="product_id"),
-        _keys(tables["geolocation"], False, orphan_customer_zips=GEO_ZIP),
-    ]
     # Items are children of sellers and products, and what an order needs at least one of.
-    items = tables["order_items"].select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(check).alias("check"),
-                        F.col(column).cast("string").alias("orphan_key"),
-                        F.lit(child).alias("child"),
-                    )
-                    for check, column, child in (
-                        ("orphan_sellers", "seller_id", True),
-                        ("orphan_products", "product_id", True),
-                        ("orders_without_items", "order_id", False),
-                    )
-                ]
-            )
-        ).alias("_k")
-    ).select("_k.*")
+    items = tables["order_items"]
     children = [
-        items,
-        _keys(tables["customers"], True, orphan_customer_zips="customer_zip_code_prefix"),
-        _keys(tables["orders"], True, orders_without_items="order_id"),
+        _keys(items, "orphan_sellers", "seller_id", True),
+        _keys(items, "orphan_products", "product_id", True),
+        _keys(tables["customers"], "orphan_customer_zips", "customer_zip_code_prefix", True),
+        _keys(tables["orders"], "orders_without_items", "order_id", True),
+    ]
+    parents = [
+        _keys(items, "orders_without_items", "order_id", False),
+        _keys(tables["sellers"], "orphan_sellers", "seller_id", False),
+        _keys(tables["products"], "orphan_products", "product_id", False),
+        _keys(tables["geolocation"], "orphan_customer_zips", GEO_ZIP, False),
     ]
     every = reduce(DataFrame.unionByName, [*children, *parents])
     known = ~F.col("child") & F.col("orphan_key").isNotNull()

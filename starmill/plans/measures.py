@@ -124,17 +124,19 @@ def customer_segments(
     payments: DataFrame,
     customers: DataFrame,
     cut_points: tuple[float, float] | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Each paying person as High, Medium or Low.
 
-    The cut points are the exact 1/3 and 2/3 quantiles of spend unless given.
+    The cut points are the exact 1/3 and 2/3 quantiles of spend unless given. For these the
+    spend is staged in ``folder``, say that of the warehouse, whose release deletes it.
     """
     spend = customer_spend(payments, customers)
     if cut_points is None:
         # Both the ranking and the result read it.
-        spend = stage(spend, "spend")
+        spend = stage(spend, "spend", folder)
         cuts = exact_quantiles(
-            spend, "spend", {"lower": (1, 3), "upper": (2, 3)}, "customer_unique_id"
+            spend, "spend", {"lower": (1, 3), "upper": (2, 3)}, "customer_unique_id", folder
         )
         limits = cuts.select(F.struct("lower", "upper")).scalar()
     else:

@@ -339,5 +339,12 @@ class Warehouse:
                 self.dim_date
             list(pool.map(self.table, facts))
 
+    def referring_rows(self) -> dict[str, DataFrame]:
+        """All tables, facts without their numbers: what references can be checked on before
+        anything is sorted or written."""
+        self.prepare([t for t in schemas.TABLES if not t.startswith("fact_")])
+        facts = {"fact_orderlifecycle": self.lifecycle_rows, "fact_orderpayments": self.payment_rows}
+        return {t: facts[t] if t in facts else self.table(t) for t in schemas.TABLES}
+
     def all_tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in schemas.TABLES}

@@ -309,6 +309,7 @@ def conform_fact_payments(x: Inputs) -> DataFrame:
 
 
 def check_primary_keys(x: Inputs) -> DataFrame:
+    x.warehouse.prepare()
     return constraints.check_primary_keys(x.warehouse.all_tables())
 
 
@@ -317,7 +318,7 @@ def check_unique_keys(x: Inputs) -> DataFrame:
 
 
 def check_foreign_keys(x: Inputs) -> DataFrame:
-    return constraints.check_foreign_keys(x.warehouse.all_tables())
+    return constraints.check_foreign_keys(x.warehouse.referring_rows())
 
 
 # --- measures -----------------------------------------------------------------------
@@ -352,12 +353,12 @@ def payments_mom(x: Inputs) -> DataFrame:
 
 def customer_segments(x: Inputs) -> DataFrame:
     w = x.unnumbered
-    return _rounded(measures.customer_segments(w.payment_rows, w.dim_customers), 2, "spend")
+    return _rounded(measures.customer_segments(w.payment_rows, w.dim_customers, folder=w.folder), 2, "spend")
 
 
 def segment_summary(x: Inputs) -> DataFrame:
     w = x.unnumbered
-    segments = measures.customer_segments(w.payment_rows, w.dim_customers)
+    segments = measures.customer_segments(w.payment_rows, w.dim_customers, folder=w.folder)
     return _rounded(measures.segment_summary(segments), 2, "spend")
 
 

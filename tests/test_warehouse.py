@@ -231,3 +231,22 @@ def test_violations_are_found(warehouse):
         ("dim_sellers", "seller_sk", "1", 2),
         ("dim_sellers", "seller_sk", None, 2),
     ]
+
+
+def test_references_are_checked_before_facts_are_numbered(spark, clean, monkeypatch):
+    built = Warehouse(clean, closed="right")
+    monkeypatch.setattr(Warehouse, "_numbered", None)
+    found = rows(constraints.check_foreign_keys(built.referring_rows()))
+    assert len(found) == len(schemas.FOREIGN_KEY) and {r[2] for r in found} == {0}
+
+
+def test_segments_stage_in_the_folder_they_are_given(spark, clean):
+    from starmill.plans import measures
+
+    built = Warehouse(clean, key_method="natural")
+    segments = measures.customer_segments(built.payment_rows, built.dim_customers, folder=built.folder)
+    assert segments.count() == 2
+    assert all(built.folder in f for f in segments.inputFiles() if "spend" in f)
+    built.release()
+    with pytest.raises(Exception, match="(?i)not.?exist"):
+        segments.collect()
