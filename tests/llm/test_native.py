@@ -317,7 +317,7 @@ def test_values_that_begin_alike_meet_only_their_own_runs(session):
     count = 10_000
     rows = session.range(2 * count).selectExpr(
         "id AS doc_id",
-        f"concat(IF(id < {count}, 'token: ', 'URL=https://h/'), 'ghp_', substring(sha2(cast(id % {count} AS string), 256), 1, 30)) AS text",
+        f"concat(IF(id < {count}, 'token: ', 'URL=https://h/'), 'ghp_', upper(substring(sha2(cast(id % {count} AS string), 256), 1, 30))) AS text",
         f"IF(id < {count}, 'a', 'b') AS source", "'en' AS lang",
     )
     scanned = secret_scan.scan(rows, F.col("source"), F.col("lang"))
@@ -325,6 +325,7 @@ def test_values_that_begin_alike_meet_only_their_own_runs(session):
     extra = secret_scan._extra(scanned, known)
     live = known.where("_class = 'live'").count()
     assert live > 0.9 * count
-    assert extra.count() == live
+    # A value that holds a long run of digits lies under a span of kind hex in its URL.
+    assert live - 5 <= extra.count() <= live
     cores = known.where("_live").groupBy("_core").count()
     assert cores.agg(F.max("count")).first()[0] == 1
