@@ -13,7 +13,8 @@ which builds the trees of the rims in the same way, until one tree holds the las
 task sees a subtree whole, however many conversations share it.
 
 Members that end at a node are listed by a sort that is dealt by key and id: a hot key is
-spread, every task packs its part of the list, and only the packed parts meet.
+spread, every task packs its part of the list, and only the packed parts meet. The ids of one
+conversation are one value, 20 bytes a turn.
 
 Order and odd rows. Turns are ordered by turn, NULL first; rows of one turn by their ids.
 NULL roles and texts are empty. Rows without conv_id are one conversation; its id is NULL,
