@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmill.llm.common import (
-    NULL_ID, ODD, Words, keyed, mix, pieces, row_id, shown_id, signed, small_or_shuffled,
-    text_key, windows, written,
+    NULL_ID, ODD, Words, keyed, mix, pieces, release_shuffles, row_id, shown_id, signed,
+    small_or_shuffled, text_key, windows, written,
 )
 from starmill.llm.components import components
 from starmill.operators.matching import lookup
@@ -152,17 +152,20 @@ def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in pieces(batches, "_text"):
         words = Words(batch.column(batch.schema.get_field_index("_text")), lower=True)
         sets = shingle_sets(words, batch.num_rows)
-        which = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+        sizes = np.array([len(s) for s in sets], np.int64)
+        which = pa.array(np.repeat(np.arange(len(sets)), sizes))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(batch.schema.get_field_index("_rep")).take(which),
+                pa.array(np.repeat(sizes, sizes)),
                 pa.array(signed(np.concatenate(sets))),
             ],
-            ["_rep", "_h"],
+            ["_rep", "_n", "_h"],
         )
 
 
 REP = "struct<_id:bigint,_th:binary>"
+SHINGLE_ROWS = f"_rep {REP}, _n bigint, _h bigint"
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -191,16 +194,16 @@ def _undecided(banded: DataFrame) -> DataFrame:
 
 def _can_link(live: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Drop sets with too many shingles that no other set of ``live`` has."""
-    sets = live.select("_rep", "n").distinct()
-    shingles = texts.join(sets, "_rep", "left_semi").mapInArrow(_shingle_rows, f"_rep {REP}, _h bigint")
-    alone = (
+    shingles = texts.join(live, "_rep", "left_semi").mapInArrow(_shingle_rows, SHINGLE_ROWS)
+    lost = (
         shingles.groupBy("_h")
-        .agg(F.count("*").alias("_in"), F.min("_rep").alias("_rep"))
+        .agg(F.count("*").alias("_in"), F.min(F.struct("_rep", "_n")).alias("_owner"))
         .where("_in = 1")
-        .groupBy("_rep")
+        .groupBy("_owner")
         .agg(F.count("*").alias("_own"))
+        .where(100 * (F.col("_owner._n") - F.col("_own")) < percent * F.col("_owner._n"))
+        .select("_owner._rep")
     )
-    lost = alone.join(sets, "_rep").where(100 * (F.col("n") - F.col("_own")) < percent * F.col("n"))
     return live.join(lost, "_rep", "left_anti")
 
 
@@ -212,7 +215,7 @@ def _pairs_left(live: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     So sets that are near the same text, but not near each other, meet in few rows.
     """
     sets = live.select("_rep", "n", "_c").distinct()
-    shingles = texts.join(sets, "_rep", "left_semi").mapInArrow(_shingle_rows, f"_rep {REP}, _h bigint")
+    shingles = texts.join(sets, "_rep", "left_semi").mapInArrow(_shingle_rows, SHINGLE_ROWS).drop("_n")
     often = shingles.groupBy("_h").agg(F.count("*").alias("_in"))
     order = Window.partitionBy("_rep").orderBy("_in", "_h")
     placed = shingles.join(often, "_h").withColumn("_at", F.row_number().over(order)).join(sets, "_rep")
@@ -274,9 +277,11 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFra
         .withColumn("_c", F.coalesce("_c", "_rep"))
     )
     live = written(_undecided(live))
+    release_shuffles(docs.sparkSession)
     rows = live.count()
     while rows:
         live, before = written(_undecided(_can_link(live, texts, percent))), rows
+        release_shuffles(docs.sparkSession)
         rows = live.count()
         if 10 * rows > 9 * before:
             break
@@ -284,6 +289,7 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFra
     rest = written(rest.join(stars, ["u", "v"], "left_anti"))
     more = _confirm(rest.select("u", "v"), texts, percent).join(rest, ["u", "v"])
     merged = components(more.select(F.col("c").alias("u"), F.col("d").alias("v")))
+    release_shuffles(docs.sparkSession)
     final = (
         named.select("_c").distinct().union(live.select("_c").distinct()).distinct()
         .join(merged, F.col("_c") == F.col("id"), "left")

@@ -6,7 +6,7 @@ import hashlib
 import numpy as np
 import pytest
 
-from starmill.llm import minhash_dedup, substring_dedup, suffix_dedup
+from starmill.llm import components, minhash_dedup, substring_dedup, suffix_dedup
 
 from .conftest import pairs, result
 
@@ -176,3 +176,35 @@ def test_bands_follow_the_similarity():
     for percent in (30, 50, 80, 85, 95):
         bands, depth = minhash_dedup.layout(percent)
         assert (1 - (percent / 100) ** depth) ** bands <= 3e-7
+
+
+def test_rounds_of_components_are_few_and_small(session, monkeypatch):
+    """A round reads the links eight times at most, and links that are stars already take none."""
+    plans, write = [], components.written
+    monkeypatch.setattr(components, "written", lambda df: plans.append(df) or write(df))
+    stars = [(k % 3, 10 + k) for k in range(30)]
+    chain = [(100 + k, 100 + (k + 7) % 40) for k in range(0, 200, 7)]
+    hub = [(200 + k, 299) for k in range(50)] + [(299, 220), (299, 299), (220, 299)]
+
+    def found(links):
+        plans.clear()
+        return result(components.components(session.createDataFrame(links, "u bigint, v bigint")))
+
+    assert found(stars) == sorted(((v, u) for u, v in stars), key=str)
+    assert len(plans) == 1
+    links = stars + chain + hub
+    least = {x: x for link in links for x in link}
+    for _ in least:
+        for u, v in links:
+            least[u] = least[v] = min(least[u], least[v])
+    assert found(links) == sorted(((x, c) for x, c in least.items() if x != c), key=str)
+    leaves = [df._jdf.queryExecution().optimizedPlan().collectLeaves().size() for df in plans[1:]]
+    assert leaves and max(leaves) <= 8
+
+
+def test_shingle_rows_carry_the_size_of_their_set(session):
+    rows = [(1, "a b c d e f g a b c d e"), (2, "a b"), (3, " ")]
+    frame = session.createDataFrame(rows, "doc_id bigint, text string")
+    texts = minhash_dedup.keyed(frame).selectExpr("struct(_id, _th) AS _rep", "_text")
+    got = texts.mapInArrow(minhash_dedup._shingle_rows, minhash_dedup.SHINGLE_ROWS).selectExpr("_rep._id", "_n", "_h")
+    assert [r[:2] for r in result(got)] == [(1, 7)] * 7 + [(2, 1)]
